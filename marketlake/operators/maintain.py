@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -15,10 +17,14 @@ from marketlake.sources.tables import table_columns
 def upsert(
     existing: DataFrame, incoming: DataFrame, keys: Sequence[str], latest: Sequence[str | Column]
 ) -> DataFrame:
-    """Existing rows whose key does not arrive again, plus the newest incoming row per key."""
+    """Existing rows whose key does not arrive again, plus the newest incoming row per key.
+
+    Key parts that are null count as equal, as they do within the incoming rows.
+    """
     fresh = latest_per_key(incoming.select(*existing.columns), keys, latest)
-    kept = existing.join(fresh.select(*keys), list(keys), "left_anti")
-    return kept.select(*existing.columns).unionByName(fresh)
+    arriving = fresh.select(*[F.col(k).alias(f"{k}_in_") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"{k}_in_")) for k in keys])
+    return existing.join(arriving, same, "left_anti").unionByName(fresh)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

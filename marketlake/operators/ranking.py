@@ -54,10 +54,10 @@ def _global_rank(df: DataFrame, metric: str, bins: int) -> DataFrame:
     values = df.groupBy(F.col(metric).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     shares = [i / bins for i in range(1, bins)]
     cuts = values.agg(F.percentile_approx(F.col("value").cast("double"), shares, 1000)).scalar()
-    cuts = F.coalesce(cuts, F.array().cast("array<double>"))
-    number = F.col("value").cast("double")
-    above = F.size(F.filter(cuts, lambda cut: cut > number))
-    binned = values.withColumn("bin", F.when(F.col("value").isNull(), F.lit(bins)).otherwise(above))
+    above = F.size(F.filter("cuts", lambda cut: cut > F.col("value").cast("double")))
+    binned = values.withColumn("cuts", cuts).select(
+        "value", "n", F.when(F.col("value").isNull() | F.col("cuts").isNull(), F.lit(bins)).otherwise(above).alias("bin")
+    )
     order = F.col("value").desc_nulls_last()
     inner = Window.partitionBy("bin").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     outer = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)

@@ -30,10 +30,11 @@ class Store:
 
     @staticmethod
     def _partitioned(rows: DataFrame, table: str) -> tuple[DataFrame, list[str]]:
-        source = TABLES[table].partition_source
-        if source is None:
+        spec = TABLES[table]
+        if spec.partition_source is None:
             return rows, []
-        return rows.withColumn("date", F.to_date(source)), ["date"]
+        period = F.date_trunc(spec.partition_unit, F.col(spec.partition_source))
+        return rows.withColumn("date", F.to_date(period)), ["date"]
 
     def upsert(self, rows: DataFrame, table: str) -> None:
         """Replace rows by key; tables without a key are appended to.

@@ -77,10 +77,14 @@ def transfer(
     order: Sequence[str] = SERIES_ORDER,
     lo: Column | None = None,
     hi: Column | None = None,
+    partition_unit: str = "DAY",
 ) -> DataFrame:
-    """Export, load into a new date-partitioned table and return the reconciliation."""
+    """Export, load into a new table partitioned by ``date`` and return the reconciliation.
+
+    ``partition_unit`` sets how much time one ``date`` folder holds.
+    """
     export_series(source, export_path, chunk_days, order, lo, hi)
     loaded = import_series(spark, export_path, source.columns)
-    loaded.withColumn("date", F.to_date(order[0])).write.mode("append").partitionBy("date").parquet(target_path)
+    loaded.withColumn("date", F.to_date(F.date_trunc(partition_unit, F.col(order[0])))).write.mode("append").partitionBy("date").parquet(target_path)
     target = spark.read.parquet(target_path).select(*source.columns)
     return transfer_report(source, target, chunk_days, order[0], lo, hi)

@@ -286,7 +286,8 @@ class Table:
     columns: tuple[str, ...]
     key: tuple[str, ...] = ()
     latest: str | None = None
-    partition_source: str | None = None  # timestamp whose date partitions the files
+    partition_source: str | None = None  # timestamp whose period partitions the files
+    partition_unit: str = "DAY"  # how much time one partition folder holds
 
     @property
     def schema(self) -> T.StructType:
@@ -303,15 +304,22 @@ def _child(value: str, extra: str | None = None) -> Table:
     return Table(tuple(columns), ("asset_id", value), "updated_at")
 
 
-def _series(columns: list[str]) -> Table:
-    return Table(tuple(columns), ("datetime", "market", "mapped_instrument"), "collected_at", "datetime")
+# Folder size follows the bar length, so that daily bars do not end up in tiny files.
+PARTITION_UNITS = {"1m": "DAY", "1h": "MONTH", "1d": "YEAR"}
+
+
+def _series(columns: list[str], interval: str) -> Table:
+    key = ("datetime", "market", "mapped_instrument")
+    return Table(tuple(columns), key, "collected_at", "datetime", PARTITION_UNITS[interval])
 
 
 INSTRUMENT_KEY = ("exchange_internal_name", "mapped_instrument_symbol")
 
 TABLES: dict[str, Table] = {
-    "ohlcv_spot_1d_raw": Table(tuple(SPOT_OHLCV), ("datetime", "exchange", "symbol"), "collected_at", "datetime"),
-    "ohlcv_spot_indices_1d_raw": Table(tuple(INDEX_OHLCV), ("datetime", "market", "asset"), "collected_at", "datetime"),
+    "ohlcv_spot_1d_raw": Table(tuple(SPOT_OHLCV), ("datetime", "exchange", "symbol"), "collected_at", "datetime", "YEAR"),
+    "ohlcv_spot_indices_1d_raw": Table(
+        tuple(INDEX_OHLCV), ("datetime", "market", "asset"), "collected_at", "datetime", "YEAR"
+    ),
     "assets": Table(tuple(ASSETS), ("asset_id",), "updated_at"),
     "asset_alternative_ids": Table(tuple(ASSET_ALTERNATIVE_IDS), ("asset_id",), "updated_at"),
     "asset_industries_map": _child("industry_name", "justification"),
@@ -327,9 +335,9 @@ TABLES: dict[str, Table] = {
     "exchanges_futures_details": Table(tuple(EXCHANGES_FUTURES_DETAILS), ("exchange_internal_name",), "updated_at"),
     "instruments_futures": Table(tuple(INSTRUMENTS_FUTURES), INSTRUMENT_KEY, "updated_at"),
     "asset_coin_uid_map": Table(tuple(ASSET_COIN_UID_MAP), ("asset_id",), "mapped_at"),
-    **{f"futures_ohlcv_{i}": _series(FUTURES_OHLCV) for i in INTERVALS},
-    **{f"futures_open_interest_ohlc_{i}": _series(OPEN_INTEREST) for i in INTERVALS},
-    **{f"futures_funding_rate_ohlc_{i}": _series(FUNDING_RATE) for i in INTERVALS},
+    **{f"futures_ohlcv_{i}": _series(FUTURES_OHLCV, i) for i in INTERVALS},
+    **{f"futures_open_interest_ohlc_{i}": _series(OPEN_INTEREST, i) for i in INTERVALS},
+    **{f"futures_funding_rate_ohlc_{i}": _series(FUNDING_RATE, i) for i in INTERVALS},
 }
 
 
