@@ -19,6 +19,7 @@ from marketlake.operators.latest import latest_per_key
 from marketlake.session import checkpointed
 
 MIN_RATIO = 0.85
+TIERS = (0.94, 0.89)
 
 # Match types in order of precedence.
 EXACT_STEPS = ("coingecko_id", "coinmarketcap_id", "symbol", "name")
@@ -77,15 +78,19 @@ def exact_matches(assets: DataFrame, coins: DataFrame) -> DataFrame:
 # --- fuzzy step ------------------------------------------------------------
 #
 # ratio = 2M/T with M matched characters and T = la + lb.  A pair at or above
-# the floor r has M >= need(la, lb) = ceil(r*T/2), and M is at most the number
-# of characters the two names share as multisets.  Order the characters of
-# each name by one fixed order.  If the names share at least `need` characters,
-# then among the first (l - need + t) characters of each name they share at
-# least t.  Hence both names contain a common set of t of those characters:
-# joining on (la, lb, set) finds every pair that can pass, and no others than
-# those that agree on t rare characters and on both lengths.
+# the floor r has M >= need(la, lb) = ceil(r*T/2).  The matched characters are
+# a common subsequence of both names, which gives two kinds of join keys that
+# every passing pair shares; which kind is used follows from (la, lb) alone, so
+# both sides agree on it:
+#
+# * subsequences: leave out l - need characters of each name in every way.
+#   Used while their number is small; only near-identical names meet.
+# * rare sets: order the characters of each name by one fixed order.  Names
+#   with at least `need` characters in common share at least t of the first
+#   l - need + t characters of each, hence a set of t of them.  Used otherwise.
 
-_SIGNATURES = 48  # most sets per name and partner length; t follows from it
+_SIGNATURES = 96  # most rare sets per name and partner length; t follows from it
+_SUBSEQUENCES = 200  # most subsequences per name and partner length
 
 # Any fixed order is correct.  This one puts rare characters first: everything
 # but letters by descending code point, then letters from rare to common.
@@ -97,19 +102,18 @@ def _needed(total: int, ratio: float) -> int:
     return ceil(ratio * total / 2 - 1e-9)
 
 
-def _occurrences(name: str) -> list[tuple[int, str, int]]:
+def _occurrences(name: str) -> list[str]:
     """Characters in the fixed order; the i-th copy of a character is its own element."""
     seen: dict[str, int] = {}
     out = []
     for c in name:
         seen[c] = seen.get(c, 0) + 1
         out.append((_ORDER.get(c, -ord(c)), c, seen[c]))
-    return sorted(out)
+    return [f"{c}{n}" for _, c, n in sorted(out)]
 
 
-def _set_size(la: int, lb: int, need: int) -> int:
-    """Characters per set: as many as keep the longer name within the signature budget."""
-    spare = max(la, lb) - need
+def _set_size(spare: int, need: int) -> int:
+    """Characters per rare set: as many as keep the longer name within the budget."""
     t = 1
     while t < need and comb(spare + t + 1, t + 1) <= _SIGNATURES:
         t += 1
@@ -118,19 +122,23 @@ def _set_size(la: int, lb: int, need: int) -> int:
 
 def name_signatures(name: str, ratio: float, is_left: bool) -> list[str]:
     """Join keys of a name against every partner length that can reach ``ratio``."""
-    elements = [f"{c}{n}" for _, c, n in _occurrences(name)]
+    elements = _occurrences(name)
     own = len(name)
     share = ratio / (2 - ratio)  # shorter / longer of a passing pair
-    keys = []
+    keys: set[str] = set()
     for other in range(max(1, ceil(own * share - 1e-9)), floor(own / share + 1e-9) + 1):
         la, lb = (own, other) if is_left else (other, own)
         need = _needed(la + lb, ratio)
         if need > min(la, lb):
             continue
-        t = _set_size(la, lb, need)
-        prefix = elements[: own - need + t]
-        keys += [f"{la}|{lb}|{'|'.join(chosen)}" for chosen in combinations(prefix, t)]
-    return keys
+        spare = max(la, lb) - need
+        if comb(max(la, lb), spare) <= _SUBSEQUENCES:
+            chosen = combinations(name, need)
+        else:
+            t = _set_size(spare, need)
+            chosen = combinations(elements[: own - need + t], t)
+        keys.update(f"{la}|{lb}|{'|'.join(part)}" for part in chosen)
+    return sorted(keys)
 
 
 def _signed(names: DataFrame, ratio: float, is_left: bool) -> DataFrame:
@@ -162,7 +170,7 @@ def _tier(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
 
 
 def fuzzy_matches(
-    names: DataFrame, coins: DataFrame, min_ratio: float = MIN_RATIO, tiers: tuple[float, ...] = (0.95,)
+    names: DataFrame, coins: DataFrame, min_ratio: float = MIN_RATIO, tiers: tuple[float, ...] = TIERS
 ) -> DataFrame:
     """Best coin per distinct ``norm_name``: (norm_name, coin_uid, match_score).
 
@@ -194,7 +202,7 @@ def map_assets(
     coins: DataFrame,
     mapped_at: Column,
     min_ratio: float = MIN_RATIO,
-    tiers: tuple[float, ...] = (0.95,),
+    tiers: tuple[float, ...] = TIERS,
 ) -> DataFrame:
     """(asset_id, symbol, coin_uid, match_type, match_score, mapped_at) for every asset.
 

@@ -5,7 +5,15 @@ assets, orders are snapshots, requests or futures instruments, parts and
 suppliers are spot instruments.
 """
 
-from marketlake.registry import maintenance, payloads, planning, selection  # noqa: F401
+from marketlake.registry import (  # noqa: F401
+    linking,
+    maintenance,
+    payloads,
+    planning,
+    selection,
+    series,
+    streams,
+)
 from marketlake.registry.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

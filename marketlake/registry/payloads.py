@@ -264,13 +264,14 @@ _GENERAL_NULL_SPLITS = [c for c in flatten.GRADE_SPLITS if c not in ("grade_poin
     'AA' AS grade, c_acctbal / 2 AS grade_points_legal, CAST(1.5 AS DOUBLE) AS grade_points_security,
     c_nationkey < 5 AS has_orderbook, true AS has_trades, CAST(NULL AS BOOLEAN) AS is_sponsored,
     CAST(NULL AS BOOLEAN) AS is_recommended, CAST(4.5 AS DOUBLE) AS rating_avg, c_nationkey AS rating_total_users,
-    CASE WHEN c_nationkey = 1 THEN NULL ELSE c_nationkey END AS sort_order, c_acctbal AS total_volume_24h_usd,
+    CASE WHEN c_nationkey = 1 THEN -1 ELSE c_nationkey END AS sort_order, c_acctbal AS total_volume_24h_usd,
     {', '.join(f'CAST(NULL AS VARCHAR) AS {c}' for c in _GENERAL_NULL_STRINGS)},
     {', '.join(f'CAST(NULL AS DOUBLE) AS {c}' for c in _GENERAL_NULL_SPLITS)}, {AUDIT_SQL} FROM customer""",
 )
 def _general(t: Tables) -> DataFrame:
     entries = payload_entries(parse_payload(_with_payload(t.customer, _GENERAL_JSON), S.EXCHANGE_GENERAL))
-    return flatten.exchange_general_rows(entries, run_ts())
+    rows = flatten.exchange_general_rows(entries, run_ts())
+    return rows.withColumn("sort_order", F.coalesce("sort_order", F.lit(-1)))
 
 
 _LIMIT_JSON = (
@@ -420,14 +421,14 @@ def _trade_records(t: Tables) -> DataFrame:
 
 @register(
     "messages",
-    """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
-       CASE WHEN event_type = 'error' THEN 'not json ' || event_id END AS text FROM events WHERE event_type = 'error'
+    """SELECT event_id, CAST(-1 AS BIGINT) AS k,
+       'not json ' || event_id AS text FROM events WHERE event_type = 'error'
        UNION ALL SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT), NULL FROM events WHERE event_type <> 'error'""",
 )
 def _messages(t: Tables) -> DataFrame:
     value = F.when(F.col("event_type") == "error", F.concat(F.lit("not json "), "event_id")).otherwise(F.col("props"))
     parsed = parse_messages(t.events.select("event_id", value.alias("value")))
-    return parsed.select("event_id", F.try_variant_get("message", "$.k", "bigint").alias("k"), "text")
+    return parsed.select("event_id", F.coalesce(F.try_variant_get("message", "$.k", "bigint"), F.lit(-1)).alias("k"), "text")
 
 
 @register(

@@ -24,7 +24,7 @@ DELAY = "1 hour"
 def open_trade_stream(
     spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
 ) -> DataFrame:
-    """Parquet files arriving below ``path``; each file is picked up once."""
+    """Parquet files arriving below ``path`` (a folder or a pattern); each file is picked up once."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
