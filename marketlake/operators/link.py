@@ -120,13 +120,18 @@ def _set_size(spare: int, need: int) -> int:
     return t
 
 
-def name_signatures(name: str, ratio: float, is_left: bool) -> list[str]:
-    """Join keys of a name against every partner length that can reach ``ratio``."""
+def name_signatures(name: str, ratio: float, is_left: bool, partners: frozenset[int] | None = None) -> list[str]:
+    """Join keys of a name against every partner length that can reach ``ratio``.
+
+    ``partners`` lists the lengths that occur on the other side, when known.
+    """
     elements = _occurrences(name)
     own = len(name)
     share = ratio / (2 - ratio)  # shorter / longer of a passing pair
     keys: set[str] = set()
     for other in range(max(1, ceil(own * share - 1e-9)), floor(own / share + 1e-9) + 1):
+        if partners is not None and other not in partners:
+            continue
         la, lb = (own, other) if is_left else (other, own)
         need = _needed(la + lb, ratio)
         if need > min(la, lb):
@@ -141,12 +146,18 @@ def name_signatures(name: str, ratio: float, is_left: bool) -> list[str]:
     return sorted(keys)
 
 
-def _signed(names: DataFrame, ratio: float, is_left: bool) -> DataFrame:
+def _lengths(names: DataFrame) -> frozenset[int]:
+    """Distinct name lengths: at most one number per length the name column allows."""
+    rows = names.select(F.length("norm_name").alias("n")).distinct().collect()
+    return frozenset(row["n"] for row in rows)
+
+
+def _signed(names: DataFrame, ratio: float, is_left: bool, partners: frozenset[int]) -> DataFrame:
     """(name, 64-bit key) rows; a hash collision only adds a candidate."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys = batch["norm_name"].map(lambda name: name_signatures(name, ratio, is_left))
+            keys = batch["norm_name"].map(lambda name: name_signatures(name, ratio, is_left, partners))
             exploded = pd.DataFrame({"norm_name": batch["norm_name"], "key": keys}).explode("key")
             yield exploded.dropna().astype({"key": "string"})
 
@@ -156,8 +167,9 @@ def _signed(names: DataFrame, ratio: float, is_left: bool) -> DataFrame:
 
 def _tier(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
     """Best right name per left name among pairs at or above ``ratio``."""
-    a = _signed(left, ratio, True).withColumnRenamed("norm_name", "asset_name")
-    b = _signed(right, ratio, False).withColumnRenamed("norm_name", "coin_name")
+    left_lengths, right_lengths = _lengths(left), _lengths(right)
+    a = _signed(left, ratio, True, right_lengths).withColumnRenamed("norm_name", "asset_name")
+    b = _signed(right, ratio, False, left_lengths).withColumnRenamed("norm_name", "coin_name")
     pairs = a.join(b, "key").select("asset_name", "coin_name").distinct()
     scored = pairs.withColumn("score", similarity_ratio(ratio)("asset_name", "coin_name")).where("score is not null")
     owned = scored.join(right.withColumnRenamed("norm_name", "coin_name"), "coin_name")
@@ -184,16 +196,15 @@ def fuzzy_matches(
         .groupBy("norm_name")
         .agg(F.min("coin_uid").alias("coin_uid"))
     )
-    if any(t > min_ratio for t in tiers):
-        left = checkpointed(left)
+    # both are read once per tier and must stay the same rows
+    left, right = checkpointed(left), checkpointed(right)
     found: DataFrame | None = None
     for ratio in [*sorted((t for t in tiers if t > min_ratio), reverse=True), min_ratio]:
-        tier = _tier(left, right, ratio)
-        if ratio > min_ratio:
-            # the result is read twice, and the next tier must see the same rows
-            tier = checkpointed(tier)
-            left = left.join(tier.select("norm_name"), "norm_name", "left_anti")
+        tier = checkpointed(_tier(left, right, ratio))
         found = tier if found is None else found.unionByName(tier)
+        left = checkpointed(left.join(tier.select("norm_name"), "norm_name", "left_anti"))
+        if left.isEmpty():
+            break
     return found
 
 

@@ -163,23 +163,24 @@ def neighbour(
 ) -> DataFrame:
     """Add ``value`` of the previous (``step=-1``) or next (``step=1``) bar of the key.
 
-    Windows run inside (key, calendar block).  Only the outermost bar of each
-    block needs its neighbour from another block; those edges are one row per
-    key and block and are joined back to that bar alone.
+    Windows run inside (key, calendar block).  Only the outermost bar of a
+    block has its neighbour in another block; these bars, one per key and
+    block, get it from a window over the blocks of the key.  Both branches read
+    the same shuffled bars.
     """
     if step not in (-1, 1):
         raise ValueError("step must be -1 or 1")
     block = period_start(ts, BLOCK_UNIT[interval_unit(interval)])
-    blocked = df.withColumn("block_", block)
     inner = Window.partitionBy(*keys, "block_").orderBy(ts)
+    whole = inner.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     outer = Window.partitionBy(*keys).orderBy("block_")
-    shift, edge = (F.lag, F.max_by) if step < 0 else (F.lead, F.min_by)
-    within = blocked.withColumn("near_", shift(F.struct(value)).over(inner))
-    edges = blocked.groupBy(*keys, "block_").agg(edge(value, ts).alias("edge_"))
-    edges = edges.select(*keys, "block_", shift("edge_").over(outer).alias("edge_"))
-    joined = within.join(edges, [*keys, "block_"], "left")
-    near = F.when(F.col("near_").isNotNull(), F.col(f"near_.{value}")).otherwise(F.col("edge_"))
-    return joined.select(*df.columns, near.alias(name))
+    shift, far = (F.lag, F.last) if step < 0 else (F.lead, F.first)
+    near = df.withColumn("block_", block).withColumns(
+        {"near_": shift(F.struct(value)).over(inner), "edge_": far(value).over(whole)}
+    )
+    inside = near.where("near_ is not null").select(*df.columns, F.col(f"near_.{value}").alias(name))
+    border = near.where("near_ is null").select(*df.columns, shift("edge_").over(outer).alias(name))
+    return inside.unionByName(border)
 
 
 def carry_open(df: DataFrame, keys: Sequence[str], interval: str) -> DataFrame:
@@ -236,41 +237,43 @@ def reaggregate(
 def fill_gaps(df: DataFrame, keys: Sequence[str], interval: str, until: Column | None = None) -> DataFrame:
     """Add a flat bar for every inactive period between the bars of a key.
 
-    Each bar emits its own fillers up to the next bar, so neither a calendar
-    nor a join is needed.  Filled prices are the last close, volumes and counts
-    are 0 and trade times are null.  ``until`` extends the fill after the last
-    bar, up to and including that period.
+    Each bar emits itself and its own fillers up to the next bar, so neither a
+    calendar nor a join is needed.  Filled prices are the last close, volumes
+    and counts are 0 and trade times are null.  ``until`` extends the fill after
+    the last bar, up to and including that period.
     """
     unit = interval_unit(interval)
     step = F.expr(f"INTERVAL 1 {unit}")
     outer_unit = BLOCK_UNIT[unit]
     outer_step = F.expr(f"INTERVAL 1 {outer_unit}")
-    ahead = neighbour(df, keys, interval, "datetime", "next_", step=1)
-    stop = F.col("next_") if until is None else F.coalesce("next_", period_start(until, unit) + step)
-    gaps = ahead.withColumns({"from_": F.col("datetime") + step, "to_": stop - step}).where("from_ <= to_")
+    bar = F.col("datetime")
+    stop = F.col("next_") - step
+    if until is not None:
+        stop = F.coalesce(stop, F.greatest(period_start(until, unit), bar))
+    spans = neighbour(df, keys, interval, "datetime", "next_", step=1).withColumn("to_", F.coalesce(stop, bar))
     # block by block, so that no row holds more than one block of periods
-    gaps = gaps.withColumn(
-        "block_", F.explode(F.sequence(period_start("from_", outer_unit), period_start("to_", outer_unit), outer_step))
-    )
-    first = F.greatest("from_", "block_")
-    last = F.least("to_", F.col("block_") + outer_step - step)
-    gaps = gaps.withColumn("at_", F.explode(F.sequence(first, last, step)))
+    blocks = F.sequence(period_start("datetime", outer_unit), period_start("to_", outer_unit), outer_step)
+    spans = spans.withColumn("block_", F.explode(blocks))
+    first, last = F.greatest("datetime", "block_"), F.least("to_", F.col("block_") + outer_step - step)
+    spans = spans.withColumn("at_", F.explode(F.sequence(first, last, step)))
 
-    flat = {"open", "high", "low", "close"}
-    kept = {*keys, *COLUMN_GROUPS["MAPPING"]}
+    types = dict(df.dtypes)
+    own = F.col("at_") == bar
 
-    def filler(name: str) -> Column:
+    def value(name: str) -> Column:
         if name == "datetime":
             return F.col("at_").alias(name)
-        if name in flat:
-            return F.col("close").alias(name)
-        if name in MEASURE_SUMS:
-            return F.lit(0).cast(dict(df.dtypes)[name]).alias(name)
-        if name in kept:
+        if name in keys or name == "close" or name in COLUMN_GROUPS["MAPPING"]:
             return F.col(name)
-        return F.lit(None).cast(dict(df.dtypes)[name]).alias(name)
+        if name in COLUMN_GROUPS["OHLC"]:
+            flat = F.col("close")
+        elif name in MEASURE_SUMS:
+            flat = F.lit(0).cast(types[name])
+        else:
+            flat = F.lit(None).cast(types[name])
+        return F.when(own, F.col(name)).otherwise(flat).alias(name)
 
-    return df.unionByName(gaps.select(*[filler(c) for c in df.columns]))
+    return spans.select(*[value(c) for c in df.columns])
 
 
 def without_inactive(df: DataFrame) -> DataFrame:
@@ -345,23 +348,31 @@ def latest_tick(trades: DataFrame, keys: Sequence[str], as_of: Column) -> DataFr
         mask = mask + F.when(condition, F.lit(1 << i)).otherwise(F.lit(0))
     parts = trades.where(F.col("ts") <= as_of).groupBy(*keys, mask.alias("mask_")).agg(*trade_measures())
 
-    price = F.max("last")["price"]
-    out = [F.max("last")["ts"].alias("last_trade_timestamp"), price.alias("price")]
-    for i, name in enumerate(passed):
-        hit = F.col("mask_").bitwiseAND(F.lit(1 << i)) != 0
-        prefix = name.lower()
-        opening = F.min(F.when(hit, F.col("first")))["price"]
+    member = [F.when(F.col("mask_").bitwiseAND(F.lit(1 << i)) != 0, F.lit(n)) for i, n in enumerate(passed)]
+    merged = parts.withColumn("window_", F.explode(F.array_compact(F.array(*member)))).groupBy(*keys, "window_").agg(
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        F.min("high").alias("high"),
+        F.min("low").alias("low"),
+        *[F.sum(c).alias(c) for c in MEASURE_SUMS],
+    )
+    body = F.struct("first", "last", "high", "low", *MEASURE_SUMS)
+    wide = merged.groupBy(*keys).agg(*[F.max(F.when(F.col("window_") == n, body)).alias(n) for n in passed])
+    price = F.col("LIFETIME.last.price")
+    out = [F.col("LIFETIME.last.ts").alias("last_trade_timestamp"), price.alias("price")]
+    for name in passed:
+        prefix, opening = name.lower(), F.col(f"{name}.first.price")
         out += [
             opening.alias(f"{prefix}_open"),
-            (-F.min(F.when(hit, F.col("high")))["neg"]).alias(f"{prefix}_high"),
-            F.min(F.when(hit, F.col("low")))["price"].alias(f"{prefix}_low"),
+            (-F.col(f"{name}.high.neg")).alias(f"{prefix}_high"),
+            F.col(f"{name}.low.price").alias(f"{prefix}_low"),
             change(price, opening).alias(f"{prefix}_change"),
             change_percentage(price, opening).alias(f"{prefix}_change_percentage"),
         ]
         for c in MEASURE_SUMS:
-            zero = F.lit(0) if c.startswith("total") else F.lit(0.0)
-            out.append(F.sum(F.when(hit, F.col(c)).otherwise(zero)).alias(f"{prefix}_{c}"))
-    return parts.groupBy(*keys).agg(*out)
+            zero = F.lit(0).cast("bigint") if c.startswith("total") else F.lit(0.0)
+            out.append(F.coalesce(F.col(f"{name}.{c}"), zero).alias(f"{prefix}_{c}"))
+    return wide.select(*keys, *out)
 
 
 def price_matrix(prices: DataFrame, base: str, quote: str, quotes: Sequence[str]) -> DataFrame:

@@ -15,9 +15,13 @@ def landed_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_payload(df: DataFrame, schema: str, column: str = "payload") -> DataFrame:
-    """Parse the envelope and drop failed responses and those without data."""
+    """Parse the envelope and drop failed responses and those without data.
+
+    The parsed body is generated rather than projected, so that it is computed
+    once however many of its fields are used afterwards.
+    """
     body = F.from_json(F.col(column), schema)
-    parsed = df.withColumn("body", body)
+    parsed = df.select("*", F.explode(F.array(body)).alias("body"))
     usable = F.col("body.Data").isNotNull()
     if schema.startswith("Response "):
         usable &= ~F.col("body.Response").eqNullSafe("Error")
