@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marketlake.functions import change, change_percentage, interval_unit, period_start
+from marketlake.functions import interval_unit, period_start
 from marketlake.functions.time import NTZ, UNIT_SECONDS
 from marketlake.operators.latest import last_n_points
 
@@ -358,21 +358,19 @@ def latest_tick(trades: DataFrame, keys: Sequence[str], as_of: Column) -> DataFr
     )
     body = F.struct("first", "last", "high", "low", *MEASURE_SUMS)
     wide = merged.groupBy(*keys).agg(*[F.max(F.when(F.col("window_") == n, body)).alias(n) for n in passed])
-    price = F.col("LIFETIME.last.price")
-    out = [F.col("LIFETIME.last.ts").alias("last_trade_timestamp"), price.alias("price")]
+    price = "LIFETIME.last.price"
+    out = ["LIFETIME.last.ts AS last_trade_timestamp", f"{price} AS price"]
     for name in passed:
-        prefix, opening = name.lower(), F.col(f"{name}.first.price")
+        prefix, opening = name.lower(), f"{name}.first.price"
         out += [
-            opening.alias(f"{prefix}_open"),
-            (-F.col(f"{name}.high.neg")).alias(f"{prefix}_high"),
-            F.col(f"{name}.low.price").alias(f"{prefix}_low"),
-            change(price, opening).alias(f"{prefix}_change"),
-            change_percentage(price, opening).alias(f"{prefix}_change_percentage"),
+            f"{opening} AS {prefix}_open",
+            f"-{name}.high.neg AS {prefix}_high",
+            f"{name}.low.price AS {prefix}_low",
+            f"{price} - {opening} AS {prefix}_change",
+            f"try_divide(100D * ({price} - {opening}), {opening}) AS {prefix}_change_percentage",
+            *[f"coalesce({name}.{c}, 0) AS {prefix}_{c}" for c in MEASURE_SUMS],
         ]
-        for c in MEASURE_SUMS:
-            zero = F.lit(0).cast("bigint") if c.startswith("total") else F.lit(0.0)
-            out.append(F.coalesce(F.col(f"{name}.{c}"), zero).alias(f"{prefix}_{c}"))
-    return wide.select(*keys, *out)
+    return wide.selectExpr(*keys, *out)
 
 
 def price_matrix(prices: DataFrame, base: str, quote: str, quotes: Sequence[str]) -> DataFrame:

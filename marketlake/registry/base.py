@@ -44,11 +44,8 @@ def register(name: str, sql: str | None = None):
 
 def rounded(df: DataFrame, digits: int = 4, skip: Sequence[str] = ()) -> DataFrame:
     """Round double columns, whose sums depend on the order of addition."""
-    return df.select(
-        *[
-            F.round(c, digits).alias(c) if t == "double" and c not in skip else F.col(c)
-            for c, t in df.dtypes
-        ]
+    return df.selectExpr(
+        *[f"round(`{c}`, {digits}) AS `{c}`" if t == "double" and c not in skip else f"`{c}`" for c, t in df.dtypes]
     )
 
 

@@ -32,7 +32,7 @@ def read_csv(
     timestamp_format: str | None = None,
 ) -> DataFrame:
     """CSV payload with a known schema; malformed rows fail the read."""
-    reader = spark.read.schema(schema).option("header", header).option("mode", "FAILFAST")
+    reader = spark.read.schema(schema).option("header", header).option("mode", "FAILFAST").option("escape", '"')
     if timestamp_format:
         reader = reader.option("timestampNTZFormat", timestamp_format)
     return reader.csv(path)
