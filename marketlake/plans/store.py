@@ -26,7 +26,7 @@ class Store:
         path = self.path(table)
         if not maintain._exists(spark, path):
             return spark.createDataFrame([], spec.schema)
-        return spark.read.parquet(path).select(*spec.names)
+        return spark.read.schema(spec.schema).parquet(path).select(*spec.names)
 
     @staticmethod
     def _partitioned(rows: DataFrame, table: str) -> tuple[DataFrame, list[str]]:

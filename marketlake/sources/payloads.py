@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 def landed_payloads(spark: SparkSession, path: str) -> DataFrame:
     """One row per landed file: its text as ``payload`` and where it came from."""
     return (
-        spark.read.option("wholetext", True)
-        .text(path)
+        spark.read.text(path, wholetext=True)
         .select(F.col("value").alias("payload"), F.col("_metadata.file_path").alias("source_file"))
     )
 
