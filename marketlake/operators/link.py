@@ -91,6 +91,7 @@ def exact_matches(assets: DataFrame, coins: DataFrame) -> DataFrame:
 
 _SIGNATURES = 96  # most rare sets per name and partner length; t follows from it
 _SUBSEQUENCES = 200  # most subsequences per name and partner length
+_NAMES_PER_TASK = 20_000
 
 # Any fixed order is correct.  This one puts rare characters first: everything
 # but letters by descending code point, then letters from rare to common.
@@ -161,7 +162,10 @@ def _signed(names: DataFrame, ratio: float, is_left: bool, partners: frozenset[i
             exploded = pd.DataFrame({"norm_name": batch["norm_name"], "key": keys}).explode("key")
             yield exploded.dropna().astype({"key": "string"})
 
-    signed = names.select("norm_name").mapInPandas(sign, "norm_name string, key string")
+    # names are small but their keys are many: size the tasks by the keys, not by the bytes read
+    tasks = max(names.sparkSession.sparkContext.defaultParallelism, names.count() // _NAMES_PER_TASK)
+    spread = names.select("norm_name").repartition(tasks)
+    signed = spread.mapInPandas(sign, "norm_name string, key string")
     return signed.select("norm_name", F.xxhash64("key").alias("key"))
 
 

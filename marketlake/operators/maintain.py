@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
+from urllib.parse import unquote
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -115,10 +116,12 @@ def swap_table(spark: SparkSession, table: str, rebuilt: DataFrame, location: st
     rebuilt.write.mode("errorifexists").partitionBy(*partitions).parquet(location)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     if partitions:
-        stale = spark.sql(f"SHOW PARTITIONS {table}").collect()  # partition names only
-        for row in stale:
-            spec = ", ".join("{}='{}'".format(*part.split("=", 1)) for part in row["partition"].split("/"))
-            spark.sql(f"ALTER TABLE {table} DROP PARTITION ({spec})")
+        # partition names only: one per folder, dropped in one statement
+        names = [row["partition"] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        stale = [dict(part.split("=", 1) for part in name.split("/")) for name in names]
+        specs = ["PARTITION (" + ", ".join(f"{c}='{unquote(v)}'" for c, v in spec.items()) + ")" for spec in stale]
+        if specs:
+            spark.sql(f"ALTER TABLE {table} DROP {', '.join(specs)}")
         spark.sql(f"MSCK REPAIR TABLE {table}")
     spark.catalog.refreshTable(table)
 
