@@ -1,12 +1,19 @@
-"""Name similarity: 2 * matched characters / total characters."""
+"""Name similarity, 2 * matched characters / total characters, and join keys for it."""
 
 from __future__ import annotations
 
 from difflib import SequenceMatcher
+from itertools import combinations
+from math import ceil, comb, floor
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+# These helpers travel with the UDFs, so that executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def matcher_ratio(left: str, right: str, floor: float = 0.0) -> float | None:
     """Ratio of two strings, or None once it is known to be below ``floor``.
@@ -34,3 +41,91 @@ def similarity_ratio(floor: float = 0.0):
         )
 
     return ratio
+
+
+# --- join keys -------------------------------------------------------------
+#
+# ratio = 2M/T with M matched characters and T = la + lb.  A pair at or above
+# the floor r has M >= need(la, lb) = ceil(r*T/2).  The matched characters are
+# a common subsequence of both names, which gives two kinds of join keys that
+# every passing pair shares; which kind is used follows from (la, lb) alone, so
+# both sides agree on it:
+#
+# * subsequences: leave out l - need characters of each name in every way.
+#   Used while their number is small; only near-identical names meet.
+# * rare sets: order the characters of each name by one fixed order.  Names
+#   with at least `need` characters in common share at least t of the first
+#   l - need + t characters of each, hence a set of t of them.  Used otherwise.
+
+_SIGNATURES = 96  # most rare sets per name and partner length; t follows from it
+_SUBSEQUENCES = 200  # most subsequences per name and partner length
+
+# Any fixed order is correct.  This one puts rare characters first: everything
+# but letters by descending code point, then letters from rare to common.
+_LETTERS = "qxzjvkwyfpbgmhducslntroiae"
+_ORDER = {c: i for i, c in enumerate(_LETTERS, start=1)}
+
+
+def _needed(total: int, ratio: float) -> int:
+    return ceil(ratio * total / 2 - 1e-9)
+
+
+def _occurrences(name: str) -> list[str]:
+    """Characters in the fixed order; the i-th copy of a character is its own element."""
+    seen: dict[str, int] = {}
+    out = []
+    for c in name:
+        seen[c] = seen.get(c, 0) + 1
+        out.append((_ORDER.get(c, -ord(c)), c, seen[c]))
+    return [f"{c}{n}" for _, c, n in sorted(out)]
+
+
+def _set_size(spare: int, need: int) -> int:
+    """Characters per rare set: as many as keep the longer name within the budget."""
+    t = 1
+    while t < need and comb(spare + t + 1, t + 1) <= _SIGNATURES:
+        t += 1
+    return t
+
+
+def name_signatures(name: str, ratio: float, is_left: bool, partners: frozenset[int] | None = None) -> list[str]:
+    """Join keys of a name against every partner length that can reach ``ratio``.
+
+    ``partners`` lists the lengths that occur on the other side, when known.
+    """
+    elements = _occurrences(name)
+    own = len(name)
+    share = ratio / (2 - ratio)  # shorter / longer of a passing pair
+    keys: set[str] = set()
+    for other in range(max(1, ceil(own * share - 1e-9)), floor(own / share + 1e-9) + 1):
+        if partners is not None and other not in partners:
+            continue
+        la, lb = (own, other) if is_left else (other, own)
+        need = _needed(la + lb, ratio)
+        if need > min(la, lb):
+            continue
+        spare = max(la, lb) - need
+        if comb(max(la, lb), spare) <= _SUBSEQUENCES:
+            chosen = combinations(name, need)
+        else:
+            t = _set_size(spare, need)
+            chosen = combinations(elements[: own - need + t], t)
+        keys.update(f"{la}|{lb}|{'|'.join(part)}" for part in chosen)
+    return sorted(keys)
+
+
+def name_mask(name: str) -> int:
+    """64 bits: for each of 32 character classes, whether it occurs at least once and at least twice.
+
+    Every bit in which two masks differ stands for a character without a
+    partner, so the number of differing bits is at most T - 2M.
+    """
+    counts: dict[int, int] = {}
+    for c in name:
+        counts[ord(c) % 32] = counts.get(ord(c) % 32, 0) + 1
+    mask = 0
+    for index, n in counts.items():
+        mask |= 1 << index
+        if n > 1:
+            mask |= 1 << (index + 32)
+    return mask - (1 << 64) if mask >= 1 << 63 else mask

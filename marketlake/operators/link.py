@@ -8,13 +8,11 @@ a best score, the smallest ``coin_uid`` wins.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
-from math import ceil, comb, floor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marketlake.functions import normalise_name, similarity_ratio
+from marketlake.functions import name_mask, name_signatures, normalise_name, similarity_ratio
 from marketlake.operators.latest import latest_per_key
 from marketlake.session import checkpointed
 
@@ -76,75 +74,8 @@ def exact_matches(assets: DataFrame, coins: DataFrame) -> DataFrame:
 
 
 # --- fuzzy step ------------------------------------------------------------
-#
-# ratio = 2M/T with M matched characters and T = la + lb.  A pair at or above
-# the floor r has M >= need(la, lb) = ceil(r*T/2).  The matched characters are
-# a common subsequence of both names, which gives two kinds of join keys that
-# every passing pair shares; which kind is used follows from (la, lb) alone, so
-# both sides agree on it:
-#
-# * subsequences: leave out l - need characters of each name in every way.
-#   Used while their number is small; only near-identical names meet.
-# * rare sets: order the characters of each name by one fixed order.  Names
-#   with at least `need` characters in common share at least t of the first
-#   l - need + t characters of each, hence a set of t of them.  Used otherwise.
-
-_SIGNATURES = 96  # most rare sets per name and partner length; t follows from it
-_SUBSEQUENCES = 200  # most subsequences per name and partner length
-_NAMES_PER_TASK = 20_000
-
-# Any fixed order is correct.  This one puts rare characters first: everything
-# but letters by descending code point, then letters from rare to common.
-_LETTERS = "qxzjvkwyfpbgmhducslntroiae"
-_ORDER = {c: i for i, c in enumerate(_LETTERS, start=1)}
-
-
-def _needed(total: int, ratio: float) -> int:
-    return ceil(ratio * total / 2 - 1e-9)
-
-
-def _occurrences(name: str) -> list[str]:
-    """Characters in the fixed order; the i-th copy of a character is its own element."""
-    seen: dict[str, int] = {}
-    out = []
-    for c in name:
-        seen[c] = seen.get(c, 0) + 1
-        out.append((_ORDER.get(c, -ord(c)), c, seen[c]))
-    return [f"{c}{n}" for _, c, n in sorted(out)]
 
-
-def _set_size(spare: int, need: int) -> int:
-    """Characters per rare set: as many as keep the longer name within the budget."""
-    t = 1
-    while t < need and comb(spare + t + 1, t + 1) <= _SIGNATURES:
-        t += 1
-    return t
-
-
-def name_signatures(name: str, ratio: float, is_left: bool, partners: frozenset[int] | None = None) -> list[str]:
-    """Join keys of a name against every partner length that can reach ``ratio``.
-
-    ``partners`` lists the lengths that occur on the other side, when known.
-    """
-    elements = _occurrences(name)
-    own = len(name)
-    share = ratio / (2 - ratio)  # shorter / longer of a passing pair
-    keys: set[str] = set()
-    for other in range(max(1, ceil(own * share - 1e-9)), floor(own / share + 1e-9) + 1):
-        if partners is not None and other not in partners:
-            continue
-        la, lb = (own, other) if is_left else (other, own)
-        need = _needed(la + lb, ratio)
-        if need > min(la, lb):
-            continue
-        spare = max(la, lb) - need
-        if comb(max(la, lb), spare) <= _SUBSEQUENCES:
-            chosen = combinations(name, need)
-        else:
-            t = _set_size(spare, need)
-            chosen = combinations(elements[: own - need + t], t)
-        keys.update(f"{la}|{lb}|{'|'.join(part)}" for part in chosen)
-    return sorted(keys)
+_NAMES_PER_TASK = 20_000
 
 
 def _lengths(names: DataFrame) -> frozenset[int]:
@@ -154,27 +85,32 @@ def _lengths(names: DataFrame) -> frozenset[int]:
 
 
 def _signed(names: DataFrame, ratio: float, is_left: bool, partners: frozenset[int]) -> DataFrame:
-    """(name, 64-bit key) rows; a hash collision only adds a candidate."""
+    """(name, mask, 64-bit key) rows; a hash collision only adds a candidate."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys = batch["norm_name"].map(lambda name: name_signatures(name, ratio, is_left, partners))
-            exploded = pd.DataFrame({"norm_name": batch["norm_name"], "key": keys}).explode("key")
-            yield exploded.dropna().astype({"key": "string"})
+            signed = batch[["norm_name"]].assign(
+                mask=batch["norm_name"].map(name_mask),
+                key=batch["norm_name"].map(lambda name: name_signatures(name, ratio, is_left, partners)),
+            )
+            yield signed.explode("key").dropna().astype({"key": "string"})
 
     # names are small but their keys are many: size the tasks by the keys, not by the bytes read
     tasks = max(names.sparkSession.sparkContext.defaultParallelism, names.count() // _NAMES_PER_TASK)
     spread = names.select("norm_name").repartition(tasks)
-    signed = spread.mapInPandas(sign, "norm_name string, key string")
-    return signed.select("norm_name", F.xxhash64("key").alias("key"))
+    signed = spread.mapInPandas(sign, "norm_name string, mask bigint, key string")
+    return signed.select("norm_name", "mask", F.xxhash64("key").alias("key"))
 
 
 def _tier(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
     """Best right name per left name among pairs at or above ``ratio``."""
     left_lengths, right_lengths = _lengths(left), _lengths(right)
-    a = _signed(left, ratio, True, right_lengths).withColumnRenamed("norm_name", "asset_name")
-    b = _signed(right, ratio, False, left_lengths).withColumnRenamed("norm_name", "coin_name")
-    pairs = a.join(b, "key").select("asset_name", "coin_name").distinct()
+    a = _signed(left, ratio, True, right_lengths).toDF("asset_name", "asset_mask", "key")
+    b = _signed(right, ratio, False, left_lengths).toDF("coin_name", "coin_mask", "key")
+    # characters without a partner: at least the differing mask bits, at most T - 2M
+    unmatched = F.bit_count(F.col("asset_mask").bitwiseXOR(F.col("coin_mask")))
+    allowed = (F.length("asset_name") + F.length("coin_name")) * (1 - ratio) + 1e-9
+    pairs = a.join(b, "key").where(unmatched <= allowed).select("asset_name", "coin_name").distinct()
     scored = pairs.withColumn("score", similarity_ratio(ratio)("asset_name", "coin_name")).where("score is not null")
     owned = scored.join(right.withColumnRenamed("norm_name", "coin_name"), "coin_name")
     best = F.min(F.struct((-F.col("score")).alias("neg"), "coin_uid"))

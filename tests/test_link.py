@@ -5,8 +5,9 @@ from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
+from marketlake.functions import name_mask, name_signatures
 from marketlake.operators import link
-from marketlake.operators.link import fuzzy_matches, name_signatures
+from marketlake.operators.link import fuzzy_matches
 
 ASSETS = "asset_id bigint, symbol string, name string, cg_id string, cmc_id string"
 COINS = "coin_uid string, ticker string, name string, coingecko_id string, coinmarketcap_id string"
@@ -67,6 +68,8 @@ def test_signatures_never_lose_a_passing_pair():
                     passing += 1
                     left, right = name_signatures(a, floor, True), name_signatures(b, floor, False)
                     assert set(left) & set(right), (a, b, floor)
+                    differing = bin((name_mask(a) ^ name_mask(b)) & (2**64 - 1)).count("1")
+                    assert differing <= (len(a) + len(b)) * (1 - floor) + 1e-9, (a, b, floor)
     assert passing > 600
 
 
