@@ -145,12 +145,11 @@ def date_chunks(
     Bounds are taken from the series unless given.  One row per chunk:
     (chunk, chunk_start, chunk_end), end exclusive.
     """
-    spark = df.sparkSession
     if lo is None or hi is None:
-        bounds = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-    else:
-        bounds = spark.range(1).select(lo.cast(NTZ).alias("lo"), hi.cast(NTZ).alias("hi"))
-    numbered = bounds.where("lo is not null").withColumn(
+        bounds = _bounds(df, ts)
+        lo, hi = bounds["lo"], bounds["hi"]
+    one = df.sparkSession.range(1).select(lo.cast(NTZ).alias("lo"), hi.cast(NTZ).alias("hi"))
+    numbered = one.where("lo is not null").withColumn(
         "chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), _chunk_number(F.col("hi"), F.col("lo"), days)))
     )
     start, stop = _chunk_range(F.col("chunk"), F.col("lo"), F.col("hi"), days)

@@ -9,23 +9,27 @@ from urllib.parse import unquote
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from marketlake.functions import epoch_to_ts, strip_suffix, ts_to_iso, zero_date_to_null
 from marketlake.operators.latest import latest_per_key
 from marketlake.sources.tables import table_columns
 
 
+def _without_keys(existing: DataFrame, arriving: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Existing rows whose key does not arrive; null key parts count as equal."""
+    arriving = arriving.select(*[F.col(k).alias(f"{k}_in_") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"{k}_in_")) for k in keys])
+    return existing.join(arriving, same, "left_anti")
+
+
 def upsert(
     existing: DataFrame, incoming: DataFrame, keys: Sequence[str], latest: Sequence[str | Column]
 ) -> DataFrame:
-    """Existing rows whose key does not arrive again, plus the newest incoming row per key.
-
-    Key parts that are null count as equal, as they do within the incoming rows.
-    """
-    fresh = latest_per_key(incoming.select(*existing.columns), keys, latest)
-    arriving = fresh.select(*[F.col(k).alias(f"{k}_in_") for k in keys])
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"{k}_in_")) for k in keys])
-    return existing.join(arriving, same, "left_anti").unionByName(fresh)
+    """Existing rows whose key does not arrive again, plus the newest incoming row per key."""
+    incoming = incoming.select(*existing.columns)
+    kept = _without_keys(existing, incoming.select(*keys).distinct(), keys)
+    return kept.unionByName(latest_per_key(incoming, keys, latest))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -38,9 +42,24 @@ def _discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring the rows of a partition folder together for writing.
+
+    Rebalancing merges small folders into few files and splits a heavy one over
+    several tasks.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Add rows to a Parquet table."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _gathered(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+
+
+def _stored_schema(spark: SparkSession, path: str, rows: DataFrame, partition_by: Sequence[str]) -> T.StructType:
+    """Schema of a stored table; partition columns keep the type of the rows, not that guessed from folder names."""
+    stored = spark.read.parquet(path).schema
+    return T.StructType([rows.schema[f.name] if f.name in partition_by else f for f in stored.fields])
 
 
 def _prune(existing: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -67,31 +86,30 @@ def upsert_table(
     """Upsert into a Parquet table, rewriting only the partitions that are touched.
 
     ``partition_by`` columns must be part of the key or follow from it.  The
-    merged partitions are written next to the table first and moved in from
-    there, so no path is overwritten while it is read, and a lost executor
+    incoming rows are written once, cleaned, next to the table, then the merged
+    partitions, which are moved in from there.  So the input is computed once,
+    no path is overwritten while it is read, and a failure before the last step
     leaves the table as it was.
     """
     spark = incoming.sparkSession
     if not _exists(spark, path):
         fresh = latest_per_key(incoming, keys, latest)
-        fresh.write.partitionBy(*partition_by).parquet(path)
+        _gathered(fresh, partition_by).write.partitionBy(*partition_by).parquet(path)
         return
-    existing = spark.read.parquet(path)
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    schema = _stored_schema(spark, path, incoming, partition_by)
+    existing = spark.read.schema(schema).parquet(path)
+    latest_per_key(incoming, keys, latest).select(*existing.columns).write.parquet(f"{staged}/incoming")
+    fresh = spark.read.parquet(f"{staged}/incoming")
     if partition_by:
-        touched = incoming.select(*partition_by).distinct()
+        touched = fresh.select(*partition_by).distinct()
         existing = _prune(existing, touched, partition_by).join(touched, list(partition_by), "left_semi")
-    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    upsert(existing, incoming, keys, latest).write.partitionBy(*partition_by).parquet(staged)
+    merged = _without_keys(existing, fresh, keys).unionByName(fresh)
+    _gathered(merged, partition_by).write.partitionBy(*partition_by).parquet(f"{staged}/merged")
+    writer = spark.read.schema(schema).parquet(f"{staged}/merged").write.mode("overwrite").partitionBy(*partition_by)
     if partition_by:
-        (
-            spark.read.parquet(staged)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by)
-            .parquet(path)
-        )
-    else:
-        spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
     _discard(spark, staged)
 
 

@@ -54,6 +54,31 @@ def test_upsert_table_touches_only_its_partitions(spark, rows, tmp_path):
     assert not list(tmp_path.glob("t.staged*"))
 
 
+def test_partition_names_keep_their_type(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    ddl = "k int, d string, v int"
+    for v in (1, 2):
+        maintain.upsert_table(rows([(1, "001", v), (2, "1", v)], ddl), path, ["k", "d"], ["v"], ["d"])
+    assert sorted(p.name for p in (tmp_path / "t").glob("d=*")) == ["d=001", "d=1"]
+    assert [r["v"] for r in spark.read.parquet(path).collect()] == [2, 2]
+
+
+def test_heavy_partition_is_written_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(300000).select(
+        F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 5)).alias("d"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2MB")
+    try:
+        maintain.upsert_table(df, path, ["k", "d"], ["v"], ["d"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "t" / "d=hot").glob("*.parquet"))) > 1
+    assert len(list((tmp_path / "t" / "d=d1").glob("*.parquet"))) == 1
+    assert spark.read.parquet(path).count() == 300000
+
+
 def test_create_and_deduplicate_catalog_table(spark, tmp_path):
     name = "series_dedup"
     S.create_table(spark, "futures_funding_rate_ohlc_1d", name, str(tmp_path / "v1"))
