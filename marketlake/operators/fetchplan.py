@@ -13,6 +13,7 @@ from marketlake.functions import (
     ts_to_epoch,
 )
 from marketlake.functions.time import NTZ
+from marketlake.operators.lookup import lookup
 
 # Most points per request by interval.
 MAX_POINTS = {"1d": 5000, "1h": 2000, "1m": 2000}
@@ -30,7 +31,7 @@ def with_high_water(
     wanted: DataFrame, stored: DataFrame, keys: Sequence[str], ts: str = "datetime", name: str = "high_water"
 ) -> DataFrame:
     """Add the newest stored timestamp to each wanted key (null when unseen)."""
-    return wanted.join(high_water(stored, keys, ts, name), list(keys), "left")
+    return lookup(wanted, high_water(stored, keys, ts, name), keys)
 
 
 def newer_than_stored(

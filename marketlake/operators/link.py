@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlake.functions import name_mask, name_signatures, normalise_name, similarity_ratio
 from marketlake.operators.latest import latest_per_key
+from marketlake.operators.lookup import lookup
 from marketlake.session import checkpointed
 
 MIN_RATIO = 0.85
@@ -38,21 +39,14 @@ def _filled(c: Column) -> Column:
 
 
 def _lookup(df: DataFrame, key: Column, coins: DataFrame, coin_key: Column, name: str) -> DataFrame:
-    """Left lookup of the smallest coin_uid with an equal key.
-
-    Rows without a key are spread over salted join keys that no coin has, so
-    that they do not gather in one partition.
-    """
+    """Left lookup of the smallest coin_uid with an equal key."""
     known = (
         coins.select(coin_key.alias("key_"), "coin_uid")
         .where("key_ is not null")
         .groupBy("key_")
         .agg(F.min("coin_uid").alias(name))
-        .withColumn("salt_", F.lit(0))
     )
-    salt = F.when(key.isNull(), F.pmod(F.xxhash64("asset_id"), F.lit(1024)).cast("int") + 1).otherwise(0)
-    keyed = df.withColumns({"key_": F.coalesce(key, F.lit("")), "salt_": salt})
-    return keyed.join(known, ["key_", "salt_"], "left").drop("key_", "salt_")
+    return lookup(df.withColumn("key_", key), known, ["key_"]).drop("key_")
 
 
 def exact_matches(assets: DataFrame, coins: DataFrame) -> DataFrame:
@@ -166,9 +160,7 @@ def map_assets(
         {"norm_name": "fuzzy_name_", "coin_uid": "fuzzy_uid_", "match_score": "fuzzy_score_"}
     )
     open_name = F.when(F.col("coin_uid").isNull(), F.col("norm_name"))
-    salt = F.when(open_name.isNull(), F.pmod(F.xxhash64("asset_id"), F.lit(1024)).cast("int") + 1).otherwise(0)
-    keyed = exact.withColumns({"fuzzy_name_": F.coalesce(open_name, F.lit("")), "salt_": salt})
-    joined = keyed.join(best.withColumn("salt_", F.lit(0)), ["fuzzy_name_", "salt_"], "left")
+    joined = lookup(exact.withColumn("fuzzy_name_", open_name), best, ["fuzzy_name_"])
     is_exact, is_fuzzy = F.col("coin_uid").isNotNull(), F.col("fuzzy_uid_").isNotNull()
     return joined.select(
         "asset_id",

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from marketlake.functions import interval_unit, period_start
 from marketlake.functions.time import NTZ, UNIT_SECONDS
 from marketlake.operators.latest import last_n_points
+from marketlake.operators.lookup import lookup
 
 SIDES = ("BUY", "SELL", "UNKNOWN")
 
@@ -288,7 +289,8 @@ def apply_mapping(df: DataFrame, mapping: DataFrame, keys: Sequence[str] = ("mar
     without a mapping keep their name.  Inversion turns prices into 1/price and
     swaps high with low and volume with quote volume.
     """
-    joined = df.join(mapping.select(*keys, "mapped_instrument", "inverted"), list(keys), "left")
+    base = df.drop("mapped_instrument")
+    joined = lookup(base, mapping.select(*keys, "mapped_instrument", "inverted"), keys)
     flip = F.coalesce("inverted", F.lit(False))
     swap = {"high": "low", "low": "high"}
     prices = [c for c in df.columns if c in COLUMN_GROUPS["OHLC"] or c.endswith("_trade_price")]
@@ -309,8 +311,7 @@ def apply_mapping(df: DataFrame, mapping: DataFrame, keys: Sequence[str] = ("mar
         return F.col(c)
 
     mapped = F.coalesce("mapped_instrument", "instrument").alias("mapped_instrument")
-    columns = [c for c in df.columns if c != "mapped_instrument"]
-    return joined.select(*[value(c) for c in columns], mapped)
+    return joined.select(*[value(c) for c in base.columns], mapped)
 
 
 # --- latest tick -----------------------------------------------------------

@@ -173,10 +173,10 @@ for _name, (_type, _kind, _condition) in _SELECTIONS.items():
 @register(
     "instrument_list",
     _selection_sql("trade", "o_totalprice > 100000 AND o_orderkey IN (3, 17, 255, 1024)")
-    .replace("('1-URGENT', '2-HIGH')", "(SELECT DISTINCT o_orderpriority FROM orders WHERE o_custkey < 1000)"),
+    .replace("('1-URGENT', '2-HIGH')", "(SELECT o_orderpriority FROM orders)"),
 )
 def _instrument_list(t: Tables) -> DataFrame:
-    venues = t.orders.where("o_custkey < 1000").select(F.col("o_orderpriority").alias("exchange_internal_name"))
+    venues = t.orders.select(F.col("o_orderpriority").alias("exchange_internal_name"))
     symbols = ["I-3 ", "I-17", " I-255", "I-1024"]
     return select.futures_instruments(_futures(t), venues, ["ACTIVE", "EXPIRED"], "ohlcv", symbols)
 

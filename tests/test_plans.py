@@ -88,3 +88,59 @@ def test_coin_map_is_stored(spark, rows, tmp_path):
     mapping = linking.refresh_coin_map(spark, store, coins, F.lit("2024-02-01"))
     assert mapping.count() == 2
     assert [(r["asset_id"], r["coin_uid"]) for r in store.read(spark, "asset_coin_uid_map").collect()] == [(1, "c")]
+
+
+def test_hot_join_key_is_split(spark):
+    """A symbol held by most assets is looked up by several tasks."""
+    from marketlake.operators import link
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        assets = spark.range(0, 200000, 1, 8).selectExpr(
+            "id as asset_id", "if(id % 3 > 0, 'HOT', concat('s', id)) as symbol", "sha2(cast(id as string), 256) as name"
+        )
+        coins = spark.range(5000).selectExpr("concat('c', id) as coin_uid", "if(id = 7, 'HOT', concat('s', id)) as ticker")
+        out = link._lookup(assets, F.col("symbol"), coins, F.col("ticker"), "hit")
+        parts = out.groupBy(F.spark_partition_id(), "hit").agg(F.count("name").alias("n"), F.max("name"))
+        sizes = [r["n"] for r in parts.where("hit = 'c7'").collect()]
+        assert sum(sizes) == 200000 - 66667 and len(sizes) > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_shuffles_lie_directly_below_a_lookup_join(spark, rows):
+    """With an aggregated lookup side, AQE still sees both shuffles of the join."""
+    from marketlake.operators.fetchplan import newer_than_stored
+
+    df = rows([("m", "i", at("2024-01-01"), 1)], "market string, mapped_instrument string, datetime timestamp_ntz, v int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = newer_than_stored(df, df, ["market", "mapped_instrument"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        below = plan.split("SortMergeJoin")[1]
+        assert "tag_" in below.split("\n")[0]
+        assert below.count("Exchange hashpartitioning(market") == 3  # both sides of the join and the aggregate
+        assert out.count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_lookup_missing_keys(rows):
+    from marketlake.operators.lookup import lookup
+
+    left = rows([(1, "a", None), (2, None, "b"), (3, "a", "b"), (4, "z", "b")], "id int, k string, l string")
+    right = rows([("a", "b", 9), (None, "b", 7)], "k string, l string, v int")
+    got = lookup(left, right, ["k", "l"]).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, "a", None, None), (2, None, "b", None), (3, "a", "b", 9), (4, "z", "b", None)]
