@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlake.llm import chat, lines, mixing, neardup, pieces, secrets, toxicity
+from marketlake.llm import chat, licenses, lines, mixing, neardup, neighbours, pieces, secrets, sketches, toxicity
 from marketlake.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -111,3 +111,26 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, threshold=(85, 100))
+
+
+@query
+def op5_multiprobe_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
+
+
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.compare_versions(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: a top directory for each source, 100 ids in a directory, each 25th id a license file."""
+    documents = table(spark, sf_dir, "documents")
+    hundred, ten_thousand = F.expr("doc_id div 100"), F.expr("doc_id div 10000")
+    name = F.when(F.col("doc_id") % 25 == 0, F.concat(F.lit("LICENSE."), F.col("doc_id"))).otherwise(
+        F.concat(F.col("doc_id"), F.lit(".txt"))
+    )
+    path = F.concat_ws("/", "source", ten_thousand, hundred, name)
+    found = licenses.scan_licenses(documents.select("doc_id", path.alias("path"), "text"), key="doc_id")
+    return found.select("doc_id", "path", "own_license", F.round("cosine", 6).alias("cosine"), "license", "inherited_from")
