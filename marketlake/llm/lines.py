@@ -27,7 +27,7 @@ shipped(__name__)
 SEGMENT_BITS = 1 << 16
 MAX_BITS = 1 << 28  # 32 MB: the bound of what is broadcast
 _SPARSE = 4096  # positions up to which a segment travels as a list
-_FLUSH = 2_000_000  # digests a task holds before it emits its filters
+_FLUSH = 300_000  # digests a task holds before it emits its filters
 
 
 def line_digest(line: bytes, min_chars: int) -> bytes | None:

@@ -64,7 +64,7 @@ class _Words(dict):
     """Word -> 64-bit hash, kept while it is small."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 150_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value

@@ -26,7 +26,7 @@ shipped(__name__)
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6  # piece types of the model format
 UNIGRAM, BPE = 1, 2  # model types
-BATCH_CHARS = 1_000_000  # characters encoded at a time
+BATCH_CHARS = 200_000  # characters encoded at a time
 
 
 @dataclass

@@ -53,7 +53,7 @@ class Channel:
     def restore(self, token: str) -> str:
         found = self.cache.get(token)
         if found is None:
-            if len(self.cache) > 200_000:
+            if len(self.cache) > 50_000:
                 self.cache.clear()
             found = self.cache[token] = self._viterbi(token)
         return found
@@ -222,7 +222,7 @@ def learn_markers(
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                 for f in text_features(text, channel):
                     counts.setdefault(f, [0, 0])[toxic] += 1
-            if len(counts) > 500_000:
+            if len(counts) > 100_000:
                 yield flush()
                 counts = {}
         if counts:
