@@ -23,6 +23,7 @@ BASE_WIDTH = 8  # cells of each table in a fingerprint
 ROUNDS = 10  # peeling rounds of one attempt; each peels one of the three tables
 BLOCK_ROWS = 4096  # documents of a block whose neighbours are found by a window
 TASK_DIGESTS = 400_000
+BROADCAST_ROWS = 1_000_000  # pairs to try again that may be broadcast: 12 MB of numbers
 _CHECK = 97  # seed of the check sum
 
 
@@ -70,33 +71,42 @@ def _first_width(expected: Column) -> Column:
     return F.least(F.pow(F.lit(2.0), F.ceil(F.log2(wanted))), F.lit(float(1 << 20))).cast("int")
 
 
-def differences(pairs: DataFrame, keep_digests: bool = False) -> DataFrame:
+def differences(pairs: DataFrame, keep_digests: bool = False, dealt: bool = False) -> DataFrame:
     """Set differences of digest arrays by subtracting and peeling sketches.
 
     ``pairs`` has ``row`` (long), ``kind`` (int), ``a`` and ``b``
     (array<bigint>) and ``share`` (double), the part of all digests expected to
     differ, which sets the first size.  (row, kind) is unique.  Returns ``row,
     kind, only_a, only_b`` (counts, or the recovered digests as arrays).
+    ``dealt`` tells that the pairs are already partitioned by row.
     Attempts repeat with twice the cells until every pair has peeled.
     """
     expected = (F.size("a") + F.size("b")) * F.col("share")
     pending = pairs.withColumn("w", _first_width(expected)).drop("share")
     done, attempt = None, 0
     while True:
-        weight = pending.agg(F.sum(F.size("a") + F.size("b"))).first()[0] or 0
-        tasks = max(1, math.ceil(3 * weight / TASK_DIGESTS))
-        dealt = pending.repartition(tasks, "row") if tasks > 1 else pending.coalesce(1)
-        peeled = saved(_attempt(dealt, attempt, keep_digests), f"peeled-{attempt}")
+        spread = pending if dealt and attempt == 0 else _by_row(pending, F.size("a") + F.size("b"))
+        peeled = saved(_attempt(spread, attempt, keep_digests), f"peeled-{attempt}")
         good = peeled.where("open = 0").drop("open")
         done = good if done is None else done.unionByName(good)
         failed = peeled.where("open > 0").select("row", "kind")
-        if failed.isEmpty():
+        count = failed.count()
+        if not count:
             return done
+        if count <= BROADCAST_ROWS:  # else the pairs are shuffled once more to meet their failures
+            failed = F.broadcast(failed)
         again = pending.join(failed, ["row", "kind"], "left_semi")
         pending = saved(again.withColumn("w", F.least(F.col("w") * 2, F.lit(1 << 20))), f"pending-{attempt}")
         attempt += 1
 
 
+def _by_row(frame: DataFrame, digests_of_row: Column) -> DataFrame:
+    """Rows dealt by ``row``, so many that a task has about ``TASK_DIGESTS`` cell entries."""
+    weight = frame.agg(F.sum(digests_of_row)).first()[0] or 0
+    tasks = max(1, math.ceil(3 * weight / TASK_DIGESTS))
+    return frame.repartition(tasks, "row") if tasks > 1 else frame.coalesce(1)
+
+
 def _attempt(pairs: DataFrame, attempt: int, keep_digests: bool) -> DataFrame:
     """``row, kind, only_a, only_b, open``: open is the number of cells that did not peel."""
     keys = ["row", "kind", "w", "cell"] + (["tag"] if keep_digests else [])
@@ -228,9 +238,11 @@ def compare_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.struct(F.lit(k).alias("kind"), F.col("own").alias("a"), F.col(c).alias("b"), F.lit(share).alias("share"))
         for k, c, share in ((0, "changed", 0.4), (1, "following", 1.0))
     ]
-    pairs = sets.select("row", F.explode(F.array(*pair)).alias("p")).select("row", "p.*")
+    own_size = 2 * F.size("own") + F.size("changed") + F.size("following")
+    spread = _by_row(sets.select("row", "own", "changed", "following"), own_size)
+    pairs = spread.select("row", F.explode(F.array(*pair)).alias("p")).select("row", "p.*")
     counts = (
-        differences(pairs)
+        differences(pairs, dealt=True)
         .groupBy("row")
         .pivot("kind", [0, 1])
         .agg(F.first(F.col("only_a") + F.col("only_b")))
