@@ -19,6 +19,7 @@ from marketlake.functions.time import (
     to_utc_ntz,
     ts_to_epoch,
     ts_to_iso,
+    ts_to_iso_full,
     zero_date_to_null,
 )
 from marketlake.functions.similarity import name_mask, name_signatures, similarity_ratio

@@ -18,7 +18,10 @@ DATETIME_PATTERNS = (
     "yyyy-M-d H:m:s",
     "yyyy-M-d",
 )
+_NUMBER = r"^[+-]?\d+(\.\d*)?([eE][+-]?\d+)?$"
+_LAST_EPOCH = 253_402_300_800  # start of year 10000
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
+ISO_MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 ZERO_DATE = "0000-00-00 00:00:00"
 
 
@@ -54,6 +57,13 @@ def ts_to_iso(c: Column | str) -> Column:
     return F.date_format(_col(c), ISO_SECONDS)
 
 
+def ts_to_iso_full(c: Column | str) -> Column:
+    """ISO 8601 text that keeps microseconds where there are any."""
+    c = _col(c)
+    whole = F.date_trunc("second", c).cast(NTZ) == c.cast(NTZ)
+    return F.when(whole, F.date_format(c, ISO_SECONDS)).otherwise(F.date_format(c, ISO_MICROSECONDS))
+
+
 def zero_date_to_null(c: Column | str) -> Column:
     """Text timestamps: the zero date means null."""
     return F.nullif(_col(c), F.lit(ZERO_DATE))
@@ -68,18 +78,20 @@ def to_utc_ntz(c: Column | str, zone: str | None = None) -> Column:
 
 
 def parse_datetime(c: Column | str, on_error: str = "raise") -> Column:
-    """Parse text in any accepted form, or epoch seconds as text, to seconds.
+    """Parse text in any accepted form, a timestamp, or epoch seconds (numbers or text) to whole seconds.
 
     Text that fits no form but is shaped like a datetime is read from its
-    first 19 characters.  What is left raises, or is null with
-    ``on_error="null"``.
+    first 19 characters; fractions are cut.  What is left raises, or is null
+    with ``on_error="null"``.
     """
     if on_error not in ("raise", "null"):
         raise ValueError("on_error must be 'raise' or 'null'")
-    c = _col(c)
+    c = _col(c).cast("string")  # numbers and timestamps take the same forms
     attempts = [F.try_to_timestamp(c, F.lit(p)) for p in DATETIME_PATTERNS]
     shaped = (F.length(c) >= 19) & (F.substring(c, 5, 1) == "-") & (F.substring(c, 14, 1) == ":")
     attempts.append(F.when(shaped, F.try_to_timestamp(F.substring(c, 1, 19))))
+    number = F.when(c.rlike(_NUMBER), c.try_cast("double"))
+    attempts.append(F.when(F.abs(number) < _LAST_EPOCH, F.timestamp_seconds(F.floor(number))))
     parsed = F.date_trunc("second", F.coalesce(*attempts)).cast(NTZ)
     if on_error == "null":
         return parsed

@@ -37,8 +37,13 @@ def last_n_points(
 
 
 def drop_repeated_boundaries(pages: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Concatenate pages and keep one copy of points shared by neighbours."""
-    return concat(pages).dropDuplicates(list(keys))
+    """Concatenate pages and keep one copy of points shared by neighbours: that of the last page holding it.
+
+    Within a page the largest of the other columns, in column order, settles ties.
+    """
+    names = pages[0].columns
+    numbered = concat([page.withColumn("_page", F.lit(i)) for i, page in enumerate(pages)])
+    return latest_per_key(numbered, keys, ["_page", *[c for c in names if c not in keys]]).select(*names)
 
 
 def concat(frames: Sequence[DataFrame]) -> DataFrame:

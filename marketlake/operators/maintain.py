@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from marketlake.functions import epoch_to_ts, strip_suffix, ts_to_iso, zero_date_to_null
+from marketlake.functions import epoch_to_ts, strip_suffix, ts_to_iso_full, zero_date_to_null
 from marketlake.operators.latest import latest_per_key
 from marketlake.sources.tables import table_columns
 
@@ -119,8 +119,8 @@ def upsert_batches(
     """``foreachBatch`` handler: a replayed micro-batch leaves the same table."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            upsert_table(batch, path, keys, latest, partition_by)
+        # an empty batch is staged like any other: asking first would run the stateful plan twice
+        upsert_table(batch, path, keys, latest, partition_by)
 
     return write
 
@@ -175,25 +175,39 @@ def write_database(
 
 
 def timestamps_to_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Export form: timestamps (or text with zero dates) as ISO text named ``<column>_str``."""
+    """Export form: timestamps (or text with zero dates) as ISO text named ``<column>_str``, microseconds kept."""
     types = dict(df.dtypes)
 
     def text(c: str) -> Column:
         value = F.try_to_timestamp(zero_date_to_null(c)) if types[c] == "string" else F.col(c)
-        return ts_to_iso(value).alias(f"{c}_str")
+        return ts_to_iso_full(value).alias(f"{c}_str")
 
     return df.select(*[text(c) if c in columns else F.col(c) for c in df.columns])
 
 
-def text_to_timestamps(df: DataFrame, suffix: str = "_str") -> DataFrame:
-    """Import form: ``<column>_str`` text back to timestamps under the plain name."""
+def text_to_timestamps(df: DataFrame, suffix: str = "_str", columns: Sequence[str] | None = None) -> DataFrame:
+    """Import form: ``<column>_str`` text back to timestamps under the plain name.
+
+    ``columns`` lists the names to restore; other columns with the suffix stay
+    as they are.  Without it every such column is restored, and text that is no
+    timestamp raises rather than turning into null.
+    """
+    names = strip_suffix(df.columns, suffix)
+    if columns is not None:
+        names = {old: new if new in columns and old not in columns else old for old, new in names.items()}
+    if len(set(names.values())) < len(names):
+        raise ValueError(f"a column and its {suffix} form occur together: {sorted(names)}")
 
     def restore(old: str, new: str) -> Column:
         if old == new:
             return F.col(old)
-        return F.try_to_timestamp(zero_date_to_null(old)).cast("timestamp_ntz").alias(new)
+        parsed = F.try_to_timestamp(zero_date_to_null(old)).cast("timestamp_ntz")
+        if columns is None:
+            wrong = F.raise_error(F.concat(F.lit(f"{old} is no timestamp: "), F.col(old))).cast("timestamp_ntz")
+            parsed = F.when(zero_date_to_null(old).isNotNull() & parsed.isNull(), wrong).otherwise(parsed)
+        return parsed.alias(new)
 
-    return df.select(*[restore(old, new) for old, new in strip_suffix(df.columns, suffix).items()])
+    return df.select(*[restore(old, new) for old, new in names.items()])
 
 
 def export_chunks(
@@ -209,9 +223,11 @@ def export_chunks(
     spread.sortWithinPartitions(*columns).write.partitionBy(chunk).option("compression", "snappy").parquet(path)
 
 
-def import_chunks(spark: SparkSession, path: str, chunk: str = "chunk_start") -> DataFrame:
-    """Read exported chunks back in table form."""
-    return text_to_timestamps(spark.read.parquet(path).drop(chunk))
+def import_chunks(
+    spark: SparkSession, path: str, chunk: str = "chunk_start", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Read exported chunks back in table form; ``columns`` are the table's, see :func:`text_to_timestamps`."""
+    return text_to_timestamps(spark.read.parquet(path).drop(chunk), columns=columns)
 
 
 __all__ = [

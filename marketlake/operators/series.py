@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marketlake.functions import interval_unit, period_start
 from marketlake.functions.time import NTZ, UNIT_SECONDS
-from marketlake.operators.latest import last_n_points
+from marketlake.operators.latest import last_n_points, latest_per_key
 from marketlake.operators.lookup import lookup
 
 SIDES = ("BUY", "SELL", "UNKNOWN")
@@ -72,8 +72,8 @@ def valid_trades(df: DataFrame) -> DataFrame:
 
 
 def unique_trades(df: DataFrame, keys: Sequence[str], seq: str = "seq") -> DataFrame:
-    """One copy per (key, exchange sequence number)."""
-    return df.dropDuplicates([*keys, seq])
+    """One copy per (key, exchange sequence number): the one with the largest other columns, in column order."""
+    return latest_per_key(df, [*keys, seq], [c for c in df.columns if c not in (*keys, seq)] or [seq])
 
 
 def trades_after(df: DataFrame, after_ts: Column, last_seq: Column, limit: int) -> DataFrame:
@@ -205,13 +205,13 @@ def reaggregate(
     to_ts: Column | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """Merge ``n`` periods (1 to 30) into one bar, aligned to the epoch.
+    """Merge ``n`` periods into one bar, aligned to the epoch.
 
     The bucket that contains ``to_ts`` is returned whole; ``limit`` counts
     source periods, so at most ``limit / n`` merged bars per key come back.
     """
-    if not 1 <= n <= 30:
-        raise ValueError("aggregate must be between 1 and 30")
+    if n < 1:
+        raise ValueError("n must be positive")
     width = n * UNIT_SECONDS[interval_unit(interval)]
 
     def bucket(ts: Column) -> Column:

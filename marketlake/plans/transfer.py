@@ -38,7 +38,7 @@ def export_series(
 
 def import_series(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Exported chunks in table form and declared column order."""
-    return maintain.import_chunks(spark, path, "chunk").select(*columns)
+    return maintain.import_chunks(spark, path, "chunk", columns).select(*columns)
 
 
 def transfer_report(

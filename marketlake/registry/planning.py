@@ -155,7 +155,10 @@ def _epochs(t: Tables) -> DataFrame:
     "parse_datetimes",
     """SELECT event_id, CASE WHEN event_type = 'signup' THEN NULL WHEN event_type = 'error'
                              THEN CAST(CAST(ts AS DATE) AS TIMESTAMP)
-                             ELSE date_trunc('second', ts) END AS parsed FROM events""",
+                             ELSE date_trunc('second', ts) END AS parsed,
+              date_trunc('second', ts) AS from_number, date_trunc('second', ts) AS from_digits,
+              date_trunc('second', ts) AS from_fraction, date_trunc('second', ts) AS from_timestamp
+       FROM events""",
 )
 def _parse(t: Tables) -> DataFrame:
     kind = F.col("event_type")
@@ -166,7 +169,15 @@ def _parse(t: Tables) -> DataFrame:
         .when(kind == "error", F.date_format("ts", "yyyy-MM-dd"))
         .otherwise(F.lit("no date"))
     )
-    return t.events.select("event_id", fn.parse_datetime(text, on_error="null").alias("parsed"))
+    epoch = F.unix_seconds(F.col("ts").cast("timestamp"))
+    return t.events.select(
+        "event_id",
+        fn.parse_datetime(text, on_error="null").alias("parsed"),
+        fn.parse_datetime(epoch).alias("from_number"),
+        fn.parse_datetime(epoch.cast("string")).alias("from_digits"),
+        fn.parse_datetime(F.concat(epoch, F.lit(".75"))).alias("from_fraction"),
+        fn.parse_datetime("ts").alias("from_timestamp"),
+    )
 
 
 @register(

@@ -52,8 +52,9 @@ def local_session(cpus: str = "8", app: str = "marketlake") -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (tests, single machine) gets a fresh
-    temporary folder, which is then kept for the rest of the session.
+    A session without that setting uses a folder below the warehouse, which
+    executors share as well.  Only a local master (tests, single machine) gets a
+    fresh temporary folder, which is then kept for the rest of the session.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -61,7 +62,11 @@ def shared_root(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing.rstrip("/")
-    fresh = tempfile.mkdtemp(prefix="marketlake-")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        fresh = tempfile.mkdtemp(prefix="marketlake-")
+    else:
+        fresh = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch-{uuid.uuid4().hex}"
     spark.sparkContext.setCheckpointDir(fresh)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 

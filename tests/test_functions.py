@@ -100,3 +100,17 @@ def test_similarity(spark, rows):
 def test_change(spark):
     got = one(spark, fn.change(F.lit(110.0), F.lit(100.0)), fn.change_percentage(F.lit(110.0), F.lit(0.0)))
     assert tuple(got) == (10.0, None)
+
+
+def test_parse_datetime_epochs(spark):
+    cases = [
+        (F.lit("1700000000"), "2023-11-14T22:13:20"),
+        (F.lit("1700000000.5"), "2023-11-14T22:13:20"),
+        (F.lit(1700000000), "2023-11-14T22:13:20"),
+        (F.lit(1.7e9), "2023-11-14T22:13:20"),
+        (F.lit(0), "1970-01-01T00:00:00"),
+        (F.lit("2024-02-03T04:05:06.7 shaped"), "2024-02-03T04:05:06"),
+        (F.to_timestamp(F.lit("2024-02-03 04:05:06.123456")), "2024-02-03T04:05:06"),
+    ]
+    for value, expected in cases:
+        assert one(spark, fn.parse_datetime(value))[0].isoformat() == expected

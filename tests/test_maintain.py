@@ -206,9 +206,23 @@ def test_shared_path_follows_the_setting(spark):
     assert path != shared_path(spark, "x")
 
 
-@pytest.mark.parametrize("n", [0, 31])
+@pytest.mark.parametrize("n", [0, -1])
 def test_aggregate_bounds(rows, n):
     from marketlake.operators.series import reaggregate
 
     with pytest.raises(ValueError):
         reaggregate(rows([], "k string, datetime timestamp_ntz"), ["k"], "1h", n)
+
+
+def test_export_keeps_microseconds_and_other_text(rows):
+    from marketlake.operators import maintain
+
+    df = rows(
+        [(1, at("2024-01-01T00:00:00.123456"), "x"), (2, at("2024-01-02T00:00:00"), None)],
+        "id int, datetime timestamp_ntz, note_str string",
+    )
+    text = maintain.timestamps_to_text(df, ["datetime"])
+    back = maintain.text_to_timestamps(text, columns=df.columns).orderBy("id").collect()
+    assert [tuple(r) for r in back] == [tuple(r) for r in df.orderBy("id").collect()]
+    with pytest.raises(Exception, match="no timestamp"):
+        maintain.text_to_timestamps(text).collect()
