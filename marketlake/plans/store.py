@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketlake.operators import maintain
 from marketlake.operators.latest import latest_per_key
@@ -20,13 +20,28 @@ class Store:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
-        """The stored table, or an empty one before the first write."""
+    def read(
+        self, spark: SparkSession, table: str, start: Column | None = None, end: Column | None = None
+    ) -> DataFrame:
+        """The stored table, or an empty one before the first write.
+
+        ``start`` and ``end`` (inclusive) bound the time column the table is
+        partitioned by; folders outside the range are not opened.
+        """
         spec = TABLES[table]
+        if (start is not None or end is not None) and spec.partition_source is None:
+            raise ValueError(f"{table} is not partitioned by time")
         path = self.path(table)
         if not maintain._exists(spark, path):
             return spark.createDataFrame([], spec.schema)
-        return spark.read.schema(spec.schema).parquet(path).select(*spec.names)
+        stored = spark.read.schema(spec.schema).parquet(path)
+        if start is not None:
+            first = F.to_date(F.date_trunc(spec.partition_unit, start))
+            stored = stored.where((F.col("date") >= first) & (F.col(spec.partition_source) >= start))
+        if end is not None:
+            last = F.to_date(F.date_trunc(spec.partition_unit, end))
+            stored = stored.where((F.col("date") <= last) & (F.col(spec.partition_source) <= end))
+        return stored.select(*spec.names)
 
     @staticmethod
     def _partitioned(rows: DataFrame, table: str) -> tuple[DataFrame, list[str]]:

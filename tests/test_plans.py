@@ -144,3 +144,21 @@ def test_lookup_missing_keys(rows):
     right = rows([("a", "b", 9), (None, "b", 7)], "k string, l string, v int")
     got = lookup(left, right, ["k", "l"]).orderBy("id").collect()
     assert [tuple(r) for r in got] == [(1, "a", None, None), (2, None, "b", None), (3, "a", "b", 9), (4, "z", "b", None)]
+
+
+def test_range_read_prunes_partitions(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from marketlake.plans.store import Store
+    from marketlake.schemas import TABLES
+
+    spec, store = TABLES["futures_ohlcv_1m"], Store(str(tmp_path))
+    day = F.timestamp_seconds(F.col("id") * 86_400 + 1_700_000_000).cast("timestamp_ntz")
+    columns = [day.alias(f.name) if f.name == spec.partition_source else F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields]
+    store.append(spark.range(5).select(*columns), "futures_ohlcv_1m")
+    start, end = (F.lit(d).cast("timestamp_ntz") for d in ("2023-11-15 22:13:20", "2023-11-16 23:00:00"))
+    found = store.read(spark, "futures_ohlcv_1m", start, end)
+    assert found.count() == 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    assert store.read(spark, "futures_ohlcv_1m").count() == 5
