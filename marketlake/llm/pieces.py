@@ -10,7 +10,7 @@ markers, which leaves all merges as they are and bounds their length.
 
 from __future__ import annotations
 
-import hashlib
+import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,6 +27,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6  # piece types of the model format
 UNIGRAM, BPE = 1, 2  # model types
 BATCH_CHARS = 200_000  # characters encoded at a time
+THREADS = 2  # threads of the library in a Python worker; more mostly wait for each other and hold memory each
 
 
 @dataclass
@@ -132,17 +133,23 @@ def build_tokenizer(model: Model):
     return out
 
 
-def encode_texts(tokenizer, texts: list[str]) -> list[list[int]]:
-    """Ids of each text: many texts at a time, on the library's own threads."""
-    ids, start = [], 0
+def slices(texts: list[str]) -> Iterator[list[str]]:
+    """Consecutive texts of together at most ``BATCH_CHARS`` characters; a longer text stands alone."""
+    start = 0
     while start < len(texts):
         end, chars = start, 0
         while end < len(texts) and (end == start or chars + len(texts[end]) <= BATCH_CHARS):
             chars += len(texts[end])
             end += 1
-        ids += [e.ids for e in tokenizer.encode_batch_fast(texts[start:end], add_special_tokens=False)]
+        yield texts[start:end]
         start = end
-    return ids
+
+
+def encode_texts(tokenizer, texts: list[str]) -> list[list[int]]:
+    """Ids of each text: many texts at a time, on the library's own threads."""
+    return [
+        e.ids for some in slices(texts) for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)
+    ]
 
 
 def decode_ids(tokenizer, ids: list[list[int]]) -> list[str]:
@@ -170,20 +177,24 @@ def add_pieces(docs: DataFrame, model_file: str, text_col: str = "text") -> Data
         built = build_tokenizer(parse_model(f.read())).to_str()
     shared = docs.sparkSession.sparkContext.broadcast(built)
 
+    kind = pa.struct({"ids": pa.list_(pa.int32()), "decoded": pa.string()})
+    threads = str(THREADS)
+
     @arrow_udf("struct<ids: array<int>, decoded: string>")
     def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        os.environ["RAYON_NUM_THREADS"] = threads  # read when the library starts its threads
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(shared.value)
         for text in batches:
-            yield encoded(tokenizer, text)
-
-    def encoded(tokenizer, text: pa.Array) -> pa.Array:
-        ids = encode_texts(tokenizer, [t or "" for t in text.to_pylist()])
-        decoded = decode_ids(tokenizer, ids)
-        return pa.StructArray.from_arrays(
-            [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], names=["ids", "decoded"]
-        )
+            parts = [encoded(tokenizer, some) for some in slices([t or "" for t in text.to_pylist()])]
+            yield pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+    def encoded(tokenizer, texts: list[str]) -> pa.Array:
+        """One slice; the lists of its ids are let go with it."""
+        ids = encode_texts(tokenizer, texts)
+        decoded = pa.array(decode_ids(tokenizer, ids), pa.string())
+        return pa.StructArray.from_arrays([pa.array(ids, pa.list_(pa.int32())), decoded], fields=list(kind))
 
     plain = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("piece_ids", "decoded")))
     return (
