@@ -156,6 +156,25 @@ def decode_ids(tokenizer, ids: list[list[int]]) -> list[str]:
     return tokenizer.decode_batch(ids, skip_special_tokens=True)
 
 
+def piece_bytes(model: Model) -> list[bytes]:
+    """What each id decodes to: a byte piece its byte, another piece its text with spaces for markers."""
+    return [
+        bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in model.pieces
+    ]
+
+
+def decode_joined(tokenizer, table: list[bytes], prefixed: bool, ids: list[list[int]]) -> list[str]:
+    """As ``decode_ids``, by joining bytes; the library decodes where they are not UTF-8 (broken runs of byte pieces)."""
+    out = []
+    for some in ids:
+        try:
+            text = b"".join(map(table.__getitem__, some)).decode()
+            out.append(text[1:] if prefixed and text[:1] == " " else text)
+        except UnicodeDecodeError:
+            out += decode_ids(tokenizer, [some])
+    return out
+
+
 def disagreements(data: bytes, texts: list[str]) -> list[int]:
     """Parity check: places of the texts whose ids differ from the original library's."""
     import sentencepiece
@@ -174,7 +193,8 @@ def add_pieces(docs: DataFrame, model_file: str, text_col: str = "text") -> Data
     of the new names are replaced; rows are independent of each other.
     """
     with open(model_file, "rb") as f:
-        built = build_tokenizer(parse_model(f.read())).to_str()
+        model = parse_model(f.read())
+    built = build_tokenizer(model).to_str(), piece_bytes(model), model.dummy_prefix
     shared = docs.sparkSession.sparkContext.broadcast(built)
 
     kind = pa.struct({"ids": pa.list_(pa.int32()), "decoded": pa.string()})
@@ -185,15 +205,16 @@ def add_pieces(docs: DataFrame, model_file: str, text_col: str = "text") -> Data
         os.environ["RAYON_NUM_THREADS"] = threads  # read when the library starts its threads
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(shared.value)
+        built, *back = shared.value
+        tokenizer = Tokenizer.from_str(built)
         for text in batches:
-            parts = [encoded(tokenizer, some) for some in slices([t or "" for t in text.to_pylist()])]
+            parts = [encoded(tokenizer, back, some) for some in slices([t or "" for t in text.to_pylist()])]
             yield pa.concat_arrays(parts) if parts else pa.array([], kind)
 
-    def encoded(tokenizer, texts: list[str]) -> pa.Array:
+    def encoded(tokenizer, back: list, texts: list[str]) -> pa.Array:
         """One slice; the lists of its ids are let go with it."""
         ids = encode_texts(tokenizer, texts)
-        decoded = pa.array(decode_ids(tokenizer, ids), pa.string())
+        decoded = pa.array(decode_joined(tokenizer, *back, ids), pa.string())
         return pa.StructArray.from_arrays([pa.array(ids, pa.list_(pa.int32())), decoded], fields=list(kind))
 
     plain = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("piece_ids", "decoded")))

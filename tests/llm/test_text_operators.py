@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from random import Random
 
 import pytest
 
@@ -79,6 +80,18 @@ def test_unigram_models_keep_scores():
     assert tokenizer.encode("ab").tokens == ["▁a", "b"]
 
 
+def test_joined_bytes_decode_as_the_library_does(model_bytes):
+    model = pieces.parse_model(model_bytes)
+    tokenizer, table = pieces.build_tokenizer(model), pieces.piece_bytes(model)
+    random = Random(3)
+    byte_ids = [i for i, (_, _, kind) in enumerate(model.pieces) if kind == pieces.BYTE]
+    # any ids, also broken runs of bytes, control and unknown pieces
+    ids = [[random.randrange(len(table)) for _ in range(random.randrange(30))] for _ in range(300)]
+    ids += [[random.choice(byte_ids) for _ in range(random.randrange(6))] for _ in range(300)]
+    ids += pieces.encode_texts(tokenizer, ["", " ", "  a  b ", "\u2581x \n\t", "h\u00e9llo \U0001f600\u4e2d", "<0x41></s>"])
+    assert pieces.decode_joined(tokenizer, table, model.dummy_prefix, ids) == pieces.decode_ids(tokenizer, ids)
+
+
 def test_add_pieces(docs_of, model_bytes):
     rows = docs_of([(1, None), (2, ""), (3, "Hello  world"), (3, "Hello  world"), (4, "z" * 50_000)])
     got = {(r.doc_id, len(r.piece_ids), r.decoded) for r in pieces.add_pieces(rows, MODEL).collect()}
