@@ -186,6 +186,8 @@ def with_next(docs: DataFrame) -> DataFrame:
         F.coalesce(F.lead("block").over(below), F.max("block").over(wrapped)).alias("_next_block"),
     )
     chosen = heads.withColumnsRenamed({"block": "_next_block", "head": "_head"})
+    if facts.rows / BLOCK_ROWS <= BROADCAST_ROWS:  # a pair of numbers a block; else the texts are shuffled to meet the heads
+        chosen = F.broadcast(chosen)
     texts = (
         docs.select(F.col("id").alias("_id"), F.col("text").alias("_text"))
         .join(chosen, F.col("_id").eqNullSafe(F.col("_head")))
