@@ -2,8 +2,9 @@
 
 Spelled-around words (leetspeak, spaced-out letters, repeated letters) are
 restored before scoring: each suspicious token opens a lattice of the letters
-its characters may stand for, and Viterbi decoding under a character trigram
-model of the corpus picks the likeliest word.  Scores come from marker features
+its characters may stand for, with an optional word edge at each separator, and
+Viterbi decoding under a character trigram model of the corpus picks the
+likeliest words.  Scores come from marker features
 (words and word beginnings) of the restored text, learnt from labelled rows.
 """
 
@@ -32,9 +33,14 @@ _SYMBOL = np.zeros(256, dtype=np.uint8)  # byte -> 1..26, anything else 0
 for _i in range(26):
     _SYMBOL[65 + _i] = _SYMBOL[97 + _i] = _i + 1
 SUBSTITUTION, REPEAT, KEEP = 2.0, 0.3, 0.5  # costs in nats: a stand-in, a dropped repeat, a kept repeat
+JOIN = 3.0  # cost of no word edge at a gap wider than the narrowest of its token
+EDGES = (0.0, -2.0, -4.0)  # weights of a word edge: trigrams alone favour too few or too many, so all are decoded
 
 _WORD = re.compile(r"[^\W\d_]+")
-_SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .\-_*]){3,}[^\W\d_](?![^\W_])")
+_SPACED = re.compile(
+    r"(?<![^\W_])(?!(?<=([@$!|+(€]))\1)"  # not within a run of stand-ins: linear on long ones
+    r"(?:([^\W_]|[@$!|+(€])\2*[\s.,\-_*/~·•]+){3,}([^\W_]|[@$!|+(€])\3*(?![^\W_])"
+)
 _LEET_TOKEN = re.compile(r"[^\W_@$!|+(€]*[0-9@$!|+(€][^\s.,;:?\"')\]]*")
 _REPEATED = re.compile(r"([^\W\d_])\1\1")
 _REPEAT_TOKEN = re.compile(r"[^\W_]*([^\W\d_])\1\1[^\W_]*")
@@ -48,39 +54,77 @@ class Channel:
 
     def __init__(self, costs: np.ndarray):
         self.costs = costs.reshape(_BASE, _BASE, _BASE).tolist()
-        self.cache: dict[str, str] = {}
+        self.cache: dict[str, list[str]] = {}
 
-    def restore(self, token: str) -> str:
+    def restore(self, token: str) -> list[str]:
+        """Distinct words of the decodings: as one word, and with word edges where the token has separators."""
         found = self.cache.get(token)
         if found is None:
+            gaps = _gaps(token)
+            read = [self._viterbi(token, None, 0)]
+            if gaps:
+                read += [self._viterbi(token, edge, min(gaps)) for edge in EDGES]
+            found = list(dict.fromkeys(w for words in read for w in words.split(" ") if w))
             if len(self.cache) > 50_000:
                 self.cache.clear()
-            found = self.cache[token] = self._viterbi(token)
+            self.cache[token] = found
         return found
 
-    def _viterbi(self, token: str) -> str:
-        # state: the last two letters; value: cost and the word so far
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        previous = ""
+    def _viterbi(self, token: str, edge: float | None, narrow: int) -> str:
+        # state: the last two letters; value: cost and the letters so far, linked backwards
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+        previous, width = "", 0
         for c in token:
             options = [(c, 0.0)] if c.isalpha() else [(x, SUBSTITUTION) for x in LEET.get(c, "")]
             if not options:
-                continue  # a separator
-            following: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (cost, word) in states.items():
-                repeated = c == previous
+                width += 1  # a separator
+                continue
+            if width and edge is not None and previous:
+                following = {}
+                join = JOIN if width > narrow else 0.0
+                for (a, b), (cost, path) in states.items():
+                    for state, total, longer in (
+                        ((a, b), cost + join, path),
+                        ((b, 0), cost + self.costs[a][b][0] + edge, (path, " ")),
+                    ):
+                        kept = following.get(state)
+                        if kept is None or total < kept[0]:
+                            following[state] = (total, longer)
+                states = following
+            width = 0
+            following = {}
+            for (a, b), (cost, path) in states.items():
+                repeated = c == previous and path[1] != " "
                 if repeated:  # the repeat adds no letter
                     kept = following.get((a, b))
                     if kept is None or cost + REPEAT < kept[0]:
-                        following[(a, b)] = (cost + REPEAT, word)
+                        following[(a, b)] = (cost + REPEAT, path)
                 for letter, channel in options:
                     n = ord(letter) - 96 if "a" <= letter <= "z" else 0
                     total = cost + channel + self.costs[a][b][n] + (KEEP if repeated else 0.0)
                     kept = following.get((b, n))
                     if kept is None or total < kept[0]:
-                        following[(b, n)] = (total, word + letter)
+                        following[(b, n)] = (total, (path, letter))
             states, previous = following, c
-        return min(((cost + self.costs[a][b][0], word) for (a, b), (cost, word) in states.items()))[1]
+        path = min((cost + self.costs[a][b][0], a, b, path) for (a, b), (cost, path) in states.items())[3]
+        letters = []
+        while path is not None:
+            path, letter = path
+            letters.append(letter)
+        return "".join(reversed(letters))
+
+
+def _gaps(token: str) -> list[int]:
+    """Widths of the separators between the letters and stand-ins of a token."""
+    gaps, width = [], None
+    for c in token:
+        if c.isalpha() or c in LEET:
+            if width:
+                gaps.append(width)
+            width = 0
+        elif width is not None:
+            width += 1
+    return gaps
 
 
 def restore_text(text: str, channel: Channel) -> list[str]:
@@ -91,13 +135,15 @@ def restore_text(text: str, channel: Channel) -> list[str]:
             token = m[0].strip("!+(|")
             letters = sum(c.isalpha() for c in token)
             if 3 <= len(token) <= LONGEST_TOKEN and letters and letters < len(token):
-                restored.append(channel.restore(token))
+                restored += channel.restore(token)
     if _REPEATED.search(text):
-        restored += [channel.restore(m[0]) for m in _REPEAT_TOKEN.finditer(text) if len(m[0]) <= LONGEST_TOKEN]
+        for m in _REPEAT_TOKEN.finditer(text):
+            if len(m[0]) <= LONGEST_TOKEN:
+                restored += channel.restore(m[0])
     for m in _SPACED.finditer(text):
-        if len(m[0]) <= 2 * LONGEST_TOKEN:
-            restored.append(channel.restore(re.sub(r"[^\w]|_", "", m[0])))
-    return [w for w in restored if w]
+        if len(m[0]) <= 2 * LONGEST_TOKEN and any(c.isalpha() for c in m[0]):
+            restored += channel.restore(m[0])
+    return restored
 
 
 def text_features(text: str, channel: Channel) -> set[str]:

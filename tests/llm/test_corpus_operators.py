@@ -96,6 +96,30 @@ def test_viterbi_restores_disguised_words():
     assert toxicity.restore_text("hello plain words, 2024.", channel) == []
 
 
+def letter_channel(corpus):
+    counts = np.full(27**3, 0.1)
+    s = np.concatenate(([0, 0], toxicity._SYMBOL[np.frombuffer(corpus.encode(), np.uint8)], [0])).astype(np.int64)
+    np.add.at(counts, s[:-2] * 729 + s[1:-1] * 27 + s[2:], 1)
+    table = counts.reshape(27, 27, 27)
+    return toxicity.Channel(-np.log(table / table.sum(axis=2, keepdims=True)))
+
+
+def test_spaced_letters_are_split_into_words():
+    channel = letter_channel("idiot stupid loser trash hello world you are what a line of plain words " * 50)
+    for written, meant in (
+        ("what a l o s e r", {"a", "loser"}),
+        ("y o u i d i o t", {"you", "idiot"}),
+        ("y o u   i d i o t", {"you", "idiot"}),
+        ("i d 1 0 t", {"idiot"}),
+        ("i  d  i  o  t", {"idiot"}),
+        ("l-0-$-e-r", {"loser"}),
+        ("ii dd ii oo tt", {"idiot"}),
+        ("l0ser/1d10t", {"loser", "idiot"}),
+    ):
+        assert meant <= set(toxicity.restore_text(written, channel)), written
+    assert toxicity.restore_text("1 2 3 4 5", channel) == []
+
+
 def test_toxicity_learns_markers(spark, docs_of, prose):
     rows, labels = [], []
     for i in range(240):
