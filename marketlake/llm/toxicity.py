@@ -41,10 +41,12 @@ _SPACED = re.compile(
     r"(?<![^\W_])(?!(?<=([@$!|+(€]))\1)"  # not within a run of stand-ins: linear on long ones
     r"(?:([^\W_]|[@$!|+(€])\2*[\s.,\-_*/~·•]+){3,}([^\W_]|[@$!|+(€])\3*(?![^\W_])"
 )
-_LEET_TOKEN = re.compile(r"[^\W_@$!|+(€]*[0-9@$!|+(€][^\s.,;:?\"')\]]*")
+_LEET_TOKEN = re.compile(r"(?<![^\W_])[^\W_@$!|+(€]*[0-9@$!|+(€][^\s.,;:?\"')\]]*")
 _REPEATED = re.compile(r"([^\W\d_])\1\1")
-_REPEAT_TOKEN = re.compile(r"[^\W_]*([^\W\d_])\1\1[^\W_]*")
-LONGEST_TOKEN = 40  # longer tokens are keys, numbers or noise, no disguised words
+_RUN = re.compile(r"[^\W_]+")
+_OUTER = "!+(|"  # stand-ins that may also be punctuation around a token
+CACHED_TOKEN = 40  # longer tokens are decoded too, but seldom come again
+
 
 PREFIXES = (4, 5, 6)
 
@@ -67,13 +69,15 @@ class Channel:
             found = list(dict.fromkeys(w for words in read for w in words.split(" ") if w))
             if len(self.cache) > 50_000:
                 self.cache.clear()
-            self.cache[token] = found
+            if len(token) <= CACHED_TOKEN:
+                self.cache[token] = found
         return found
 
     def _viterbi(self, token: str, edge: float | None, narrow: int) -> str:
         # state: the last two letters; value: cost and the letters so far, linked backwards
         states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-        previous, width = "", 0
+        previous, width, held = "", 0, 0
+        settled: list[str] = []
         for c in token:
             options = [(c, 0.0)] if c.isalpha() else [(x, SUBSTITUTION) for x in LEET.get(c, "")]
             if not options:
@@ -105,13 +109,21 @@ class Channel:
                     kept = following.get((b, n))
                     if kept is None or total < kept[0]:
                         following[(b, n)] = (total, (path, letter))
-            states, previous = following, c
+            states, previous, held = following, c, held + 1
+            if held >= 1000 and len(states) == 1:  # all decodings agree so far: keep flat what is settled
+                [(state, (cost, path))] = states.items()
+                settled.append(_unlinked(path[0]))
+                states, held = {state: (cost, (None, path[1]))}, 0
         path = min((cost + self.costs[a][b][0], a, b, path) for (a, b), (cost, path) in states.items())[3]
-        letters = []
-        while path is not None:
-            path, letter = path
-            letters.append(letter)
-        return "".join(reversed(letters))
+        return "".join(settled) + _unlinked(path)
+
+
+def _unlinked(path: tuple | None) -> str:
+    letters = []
+    while path is not None:
+        path, letter = path
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 def _gaps(token: str) -> list[int]:
@@ -132,16 +144,17 @@ def restore_text(text: str, channel: Channel) -> list[str]:
     restored = []
     if any(c in text for c in LEET):
         for m in _LEET_TOKEN.finditer(text):
-            token = m[0].strip("!+(|")
-            letters = sum(c.isalpha() for c in token)
-            if 3 <= len(token) <= LONGEST_TOKEN and letters and letters < len(token):
-                restored += channel.restore(token)
+            # stand-ins around a token are letters or punctuation: read both ways
+            for token in {m[0], m[0].lstrip(_OUTER), m[0].rstrip(_OUTER), m[0].strip(_OUTER)}:
+                letters = sum(c.isalpha() for c in token)
+                if 3 <= len(token) and letters and letters < len(token):
+                    restored += channel.restore(token)
     if _REPEATED.search(text):
-        for m in _REPEAT_TOKEN.finditer(text):
-            if len(m[0]) <= LONGEST_TOKEN:
+        for m in _RUN.finditer(text):
+            if _REPEATED.search(m[0]):
                 restored += channel.restore(m[0])
     for m in _SPACED.finditer(text):
-        if len(m[0]) <= 2 * LONGEST_TOKEN and any(c.isalpha() for c in m[0]):
+        if any(c.isalpha() for c in m[0]):
             restored += channel.restore(m[0])
     return restored
 

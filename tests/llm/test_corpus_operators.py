@@ -120,6 +120,23 @@ def test_spaced_letters_are_split_into_words():
     assert toxicity.restore_text("1 2 3 4 5", channel) == []
 
 
+def test_disguised_words_of_any_length_and_outer_stand_ins():
+    channel = letter_channel("idiot stupid loser trash hello world you are what a line of plain words " * 50)
+    sentence = "you are what a loser you are a stupid idiot you are trash hello world"
+    for written, meant in (
+        ("!diot", {"idiot"}),
+        ("you +rash", {"trash"}),
+        ("(1d10t)", {"idiot"}),
+        ("id" + "i" * 60 + "ot", {"idiot"}),
+        ("1d10" + "0" * 5000 + "t", {"idiot"}),
+        (" ".join(sentence.replace(" ", "")), {"you", "loser", "stupid", "idiot", "trash"}),
+        ("1d10t/" * 2000 + "l0ser", {"idiot", "loser"}),
+    ):
+        assert meant <= set(toxicity.restore_text(written, channel)), written[:40]
+    for plain in ("a" * 200_000, "!" * 200_000, "ab" * 100_000):  # linear: would not end otherwise
+        toxicity.restore_text(plain + " 1", channel)
+
+
 def test_toxicity_learns_markers(spark, docs_of, prose):
     rows, labels = [], []
     for i in range(240):
