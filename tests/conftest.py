@@ -1,5 +1,4 @@
 import sys
-from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -21,7 +20,3 @@ def spark():
 def rows(spark):
     """Frame from tuples and a DDL schema."""
     return lambda data, ddl: spark.createDataFrame(data, ddl)
-
-
-def at(text: str) -> datetime:
-    return datetime.fromisoformat(text)

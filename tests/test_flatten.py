@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at
+from moments import at
 from marketlake import schemas as S
 from marketlake.operators import flatten
 from marketlake.plans import refresh

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at
+from moments import at
 from marketlake import schemas as S
 from marketlake.operators import checks, fetchplan, maintain
 from marketlake.operators.latest import last_n_points, latest_per_key

@@ -3,7 +3,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at
+from moments import at
 from marketlake.operators import select
 from marketlake.operators.select import top_assets
 from marketlake.plans import linking, selection, transfer

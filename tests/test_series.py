@@ -3,7 +3,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at
+from moments import at
 from marketlake.operators import ranking, series
 
 TRADE = "market string, instrument string, ts timestamp_ntz, seq bigint, price double, quantity double, side string"

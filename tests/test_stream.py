@@ -2,7 +2,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from conftest import at
+from moments import at
 from marketlake import streaming
 from marketlake.operators import series
 
