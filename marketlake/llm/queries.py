@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from marketlake.llm import chat, licenses, lines, mixing, neardup, neighbours, pieces, secrets, sketches, toxicity
+from marketlake.llm import chat, licenses, lines, merkle, mixing, neardup, neighbours, pieces, secrets, sketches, toxicity
 from marketlake.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -134,3 +134,91 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat_ws("/", "source", ten_thousand, hundred, name)
     found = licenses.scan_licenses(documents.select("doc_id", path.alias("path"), "text"), key="doc_id")
     return found.select("doc_id", "path", "own_license", F.round("cosine", 6).alias("cosine"), "license", "inherited_from")
+
+
+# Unsigned CRC-32 of a list of byte values, with its table of 256 entries built by the rule.
+CRC_SQL = """
+crc_rule AS (
+  SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+  FROM (SELECT unnest(range(256)) AS i)),
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc_rule)
+"""
+
+
+def crc_sql(values: str) -> str:
+    """CRC-32 of a list expression, where ``crc_table`` is joined."""
+    return f"""xor(list_reduce(list_prepend(4294967295, {values}),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+def tampered() -> Column:
+    """Documents whose n_chars the manifest query finds one higher than recorded."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document against its manifest, after one is added to n_chars where 7 divides crc32(doc_id)."""
+    documents = table(spark, sf_dir, "documents")
+
+    def leaf(n_chars: Column) -> Column:
+        return merkle.row_digest(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+
+    recorded = leaf(F.col("n_chars"))
+    found = F.when(tampered(), leaf(F.col("n_chars") + 1)).otherwise(recorded)
+    return merkle.manifest(documents, recorded, found)
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(v) for v in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+ORACLES["op13_merkle_manifest"] = f"""
+WITH RECURSIVE {CRC_SQL},
+leaves AS (
+  SELECT doc_id, lang, {_leaf_sql("n_chars")} AS leaf,
+         CASE WHEN {crc_sql("list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)")} % 7 = 0
+              THEN {_leaf_sql("n_chars + 1")} ELSE {_leaf_sql("n_chars")} END AS found
+  FROM documents, crc_table),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+tree AS (
+  SELECT lang, 0 AS level, i, leaf AS d, count(*) OVER (PARTITION BY lang) AS n FROM placed
+  UNION ALL
+  SELECT lang, any_value(level) + 1, i // 2, sha256(string_agg(d, '' ORDER BY i)), (any_value(n) + 1) // 2
+  FROM tree WHERE n > 1 GROUP BY lang, i // 2),
+subroots AS (
+  SELECT lang, d, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n
+  FROM tree WHERE n = 1),
+crown AS (
+  SELECT 0 AS level, i, d, n FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, i // 2, sha256(string_agg(d, '' ORDER BY i)), (any_value(n) + 1) // 2
+  FROM crown WHERE n > 1 GROUP BY i // 2),
+steps AS (
+  SELECT p.lang, p.i, t.level AS level, (p.i >> t.level) & 1 AS slot, s.d AS d
+  FROM placed p JOIN (SELECT DISTINCT lang, level FROM tree WHERE n > 1) t ON p.lang IS NOT DISTINCT FROM t.lang
+  LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM p.lang AND s.level = t.level AND s.i = xor(p.i >> t.level, 1)
+  UNION ALL
+  SELECT p.lang, p.i, 1000 + t.level, (r.i >> t.level) & 1, s.d
+  FROM placed p JOIN subroots r ON p.lang IS NOT DISTINCT FROM r.lang
+  CROSS JOIN (SELECT DISTINCT level FROM crown WHERE n > 1) t
+  LEFT JOIN crown s ON s.level = t.level AND s.i = xor(r.i >> t.level, 1)),
+paths AS (
+  SELECT lang, i, list(CASE WHEN d IS NULL THEN '' WHEN slot = 1 THEN 'l' || d ELSE 'r' || d END ORDER BY level) AS path,
+         sha256(coalesce(string_agg(d, '' ORDER BY level), '')) AS proof_sha256
+  FROM steps GROUP BY lang, i)
+SELECT p.doc_id, p.leaf, r.d AS subroot, c.d AS root, coalesce(w.proof_sha256, sha256('')) AS proof_sha256,
+       list_reduce(list_prepend(p.found, coalesce(w.path, [])), lambda a, x: sha256(
+         CASE WHEN x = '' THEN a WHEN x[1] = 'l' THEN x[2:] || a ELSE a || x[2:] END)) AS folded_root,
+       list_reduce(list_prepend(p.found, coalesce(w.path, [])), lambda a, x: sha256(
+         CASE WHEN x = '' THEN a WHEN x[1] = 'l' THEN x[2:] || a ELSE a || x[2:] END)) = c.d AS verified
+FROM placed p JOIN subroots r ON p.lang IS NOT DISTINCT FROM r.lang
+JOIN crown c ON c.n = 1
+LEFT JOIN paths w ON p.lang IS NOT DISTINCT FROM w.lang AND p.i = w.i
+"""
