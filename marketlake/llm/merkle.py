@@ -116,11 +116,14 @@ def grow(leaves: DataFrame, fanout: int = 2, depth: int = DEPTH) -> DataFrame:
     run of fewer, even of one, too, until one node is left; a lone leaf is its
     own root.  Groups must not be null.
     """
-    size = fanout**depth
     base, passes = leaves, []
     most = leaves.agg(F.max("n")).first()[0] or 0
     while True:
-        passes.append(_climb(base, fanout, depth))
+        levels = 1
+        while levels < depth and fanout**levels < most:
+            levels += 1
+        size = fanout**levels
+        passes.append(_climb(base, fanout, levels))
         if most <= size:
             break
         most = -(-most // size)

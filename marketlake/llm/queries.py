@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from marketlake.llm import chat, licenses, lines, merkle, mixing, neardup, neighbours, pieces, secrets, sketches, toxicity
+from marketlake.llm import chat, licenses, lines, merkle, mixing, neardup, neighbours, pieces, secrets, sketches, spelling, toxicity
 from marketlake.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -222,3 +222,69 @@ FROM placed p JOIN subroots r ON p.lang IS NOT DISTINCT FROM r.lang
 JOIN crown c ON c.n = 1
 LEFT JOIN paths w ON p.lang IS NOT DISTINCT FROM w.lang AND p.i = w.i
 """
+
+
+LETTERS = "A-Za-z\u00C0-\u00FF"
+SHORTEST = 7  # code points of a word
+SLIP = 31  # a run loses a letter where this divides its checksum
+
+
+def spelt_words(documents: DataFrame) -> DataFrame:
+    """``word, n``: runs of letters of whole texts, one letter taken out of some, lower-cased, found at least twice."""
+    found = F.regexp_extract_all("text", F.lit(f"([{LETTERS}]{{{SHORTEST},}})"), F.lit(1))
+    runs = documents.select("doc_id", F.explode(found).alias("run"))
+    run = F.translate("run", _UPPER, _LOWER)
+    runs = runs.select("doc_id", run.alias("run"), F.length("run").alias("size"))
+    spelt = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
+    runs = runs.withColumn("_h", F.crc32(spelt.cast("binary")))
+    at = (F.col("_h") % F.col("size")).cast("int")
+    slipped = F.concat(F.col("run").substr(F.lit(1), at), F.col("run").substr(at + 2, F.col("size")))
+    words = runs.select(F.when(F.col("_h") % SLIP == 0, slipped).otherwise(F.col("run")).alias("word"))
+    return words.where(F.length("word") >= SHORTEST).groupBy("word").agg(F.count("*").alias("n")).where("n >= 2")
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelt_words(table(spark, sf_dir, "documents")), times=10)
+
+
+_BYTES_SQL = """flatten(list_transform(string_split(doc_id::VARCHAR || ':' || run, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+    ELSE [192 + (unicode(c) >> 6)::BIGINT, 128 + (unicode(c) & 63)::BIGINT] END))"""
+ORACLES["op11_spelling_variants"] = f"""
+WITH RECURSIVE {CRC_SQL},
+runs AS (
+  SELECT doc_id, translate(run, '{_UPPER}', '{_LOWER}') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[{LETTERS}]{{{SHORTEST},}}')) AS run FROM documents)
+  GROUP BY ALL),
+hashed AS (SELECT run, n, length(run) AS size, {crc_sql(_BYTES_SQL)} AS h FROM runs, crc_table),
+spelt AS (
+  SELECT CASE WHEN h % {SLIP} = 0 THEN substr(run, 1, (h % size)::INT) || substr(run, (h % size)::INT + 2) ELSE run END
+         AS word, n FROM hashed),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM spelt WHERE length(word) >= {SHORTEST} GROUP BY word HAVING sum(n) >= 2),
+cuts AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS near, b.n FROM cuts a JOIN cuts b
+  ON a.head = b.head AND a.tail = b.tail AND a.i = b.i WHERE a.word <> b.word
+  UNION
+  SELECT c.word, w.word, w.n FROM cuts c JOIN words w ON c.head || c.tail = w.word
+  UNION
+  SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON c.head || c.tail = w.word),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS r, count(*) OVER (PARTITION BY word) AS n_near
+  FROM near),
+judged AS (
+  SELECT w.word, CASE WHEN r.n >= 10 * w.n THEN r.near END AS form, w.n, coalesce(r.n_near, 0) AS n_near,
+         CASE WHEN r.n >= 10 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND r.r = 1),
+chains AS (
+  SELECT word, word AS root FROM judged
+  UNION ALL
+  SELECT c.word, j.form FROM chains c JOIN judged j ON c.root = j.word WHERE j.form IS NOT NULL)
+SELECT j.word, j.form, c.root, j.n, j.n_near, j.form_n
+FROM judged j JOIN (
+  SELECT c.word, c.root FROM chains c JOIN judged k ON c.root = k.word WHERE k.form IS NULL) c ON j.word = c.word
+"""
