@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from marketlake.llm import chat, licenses, lines, merkle, mixing, neardup, neighbours, pieces, secrets, sketches, spelling, toxicity
+from marketlake.llm import chat, licenses, lines, merkle, mixing, neardup, neighbours, pieces, repeats, secrets, sketches, spelling, toxicity
 from marketlake.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -224,6 +224,12 @@ LEFT JOIN paths w ON p.lang IS NOT DISTINCT FROM w.lang AND p.i = w.i
 """
 
 
+@query
+def op12_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 LETTERS = "A-Za-z\u00C0-\u00FF"
 SHORTEST = 7  # code points of a word
 SLIP = 31  # a run loses a letter where this divides its checksum
