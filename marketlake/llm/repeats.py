@@ -125,8 +125,8 @@ def _occurrences(length: int, core: int):
     return joined
 
 
-def _emit(length: int, core: int):
-    """(row, text, wanted[, spans]) to (f, dg, n, segment) for the wanted segments."""
+def _emit(length: int):
+    """(text, wanted) to (f, dg, n, segment) for the wanted segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size = [], 0
@@ -138,19 +138,14 @@ def _emit(length: int, core: int):
             )
 
         for batch in batches:
-            spans = batch.column(3).to_pylist() if batch.num_columns > 3 else None
-            for i, (text, wanted) in enumerate(zip(_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True)):
-                open_ = {(w["f"], w["dg"]): w["n"] for w in wanted}
-                own = spans and sorted((s["at"], s["at"] + s["size"]) for s in spans[i])
-                for at, count, f, dg in segments(text, length, core, own):
-                    for key in zip(f.tolist(), dg.tolist(), at.tolist(), count.tolist()):
-                        n = open_.pop(key[:2], None)
-                        if n is not None:
-                            out.append((*key[:2], n, text[key[2] : key[2] + key[3] + length - 1]))
-                            size += key[3] + length - 1
-                        if size > _FLUSH:
-                            yield done()
-                            out, size = [], 0
+            for text, wanted in zip(_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                for w in wanted:
+                    segment = text[w["at"] : w["at"] + w["size"] + length - 1]
+                    out.append((w["f"], w["dg"], w["n"], segment))
+                    size += len(segment)
+                    if size > _FLUSH:
+                        yield done()
+                        out, size = [], 0
         if out:
             yield done()
 
@@ -166,10 +161,12 @@ def transform(letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tup
     string = np.repeat(np.arange(len(starts)), sizes)
     begin, size = starts[string], sizes[string]
     t = np.arange(len(letters)) - begin
-    rank, step, longest = np.unique(letters, return_inverse=True)[1].astype(np.int64), 1, sizes.max()
+    rank, step, longest = letters.astype(np.int64), 1, sizes.max()
     while step < longest:
         ahead = rank[begin + (t + step) % size]
-        rank = np.unique(rank * len(letters) + ahead, return_inverse=True)[1].astype(np.int64)
+        rank = np.unique(rank * (rank.max() + 1) + ahead, return_inverse=True)[1].astype(np.int64)
+        if rank.max() == len(rank) - 1:
+            break
         step *= 2
     order = np.lexsort((string, rank))
     return order, letters[begin + (t - 1) % size][order]
@@ -314,16 +311,19 @@ def _found(texts: DataFrame, length: int, cores: list[int], group: int, spans: D
         own = saved(own, "repeat-spans")
         given = given.where(_among(own.select(F.col("_row").alias("row")))).join(own, F.col("row") == F.col("_row")).drop("_row")
     occurrences = given.mapInArrow(_occurrences(length, core), "f bigint, dg bigint, row bigint, at bigint, size bigint")
-    alike = occurrences.groupBy("f", "dg").agg(F.count("*").alias("n"), F.min("row").alias("row"))
+    occurrences = saved(occurrences, "repeat-segments")
+    # identical segments have one size; any place in the least row holds their bytes
+    alike = occurrences.groupBy("f", "dg").agg(
+        F.count("*").alias("n"), F.min("row").alias("row"), F.min_by("at", "row").alias("at"), F.max("size").alias("size")
+    )
     shared = alike.withColumn("kinds", F.count("*").over(Window.partitionBy("f"))).where("kinds > 1 or n > 1")
     shared = saved(shared, "repeat-groups")
 
     mixed = shared.where((F.col("kinds") > 1) & (F.col("kinds") <= group))
-    wanted = mixed.groupBy(F.col("row").alias("_w")).agg(F.collect_list(F.struct("f", "dg", "n")).alias("wanted"))
+    wanted = mixed.groupBy(F.col("row").alias("_w")).agg(F.collect_list(F.struct("f", "dg", "n", "at", "size")).alias("wanted"))
     wanted = saved(wanted, "repeat-wanted")
-    holders = given.where(_among(wanted.select(F.col("_w").alias("row")))).join(wanted, F.col("row") == F.col("_w"))
-    columns = ["row", "text", "wanted", *(["spans"] if spans is not None else [])]
-    dealt = holders.select(*columns).mapInArrow(_emit(length, core), "f bigint, dg bigint, n bigint, segment binary")
+    holders = texts.where(_among(wanted.select(F.col("_w").alias("row")))).join(wanted, F.col("row") == F.col("_w"))
+    dealt = holders.select("text", "wanted").mapInArrow(_emit(length), "f bigint, dg bigint, n bigint, segment binary")
     merged = dealt.repartition("f").sortWithinPartitions("f").mapInArrow(
         _merged(length), "f bigint, dg bigint, runs array<bigint>"
     )
