@@ -190,14 +190,13 @@ def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndar
     in_order = np.empty_like(letters)
     for k in range(depth):
         in_order[np.argsort(shard, kind="stable")] = letters  # each shard's letters, one after the other
-        block = np.cumsum(apart)
+        block = np.cumsum(apart, dtype=np.int32)
         to = np.argsort(in_order, kind="stable")
         shard, block, sorted_ = shard[to], block[to], in_order[to]
         new = np.ones(len(letters), bool)
         new[1:] = (sorted_[1:] != sorted_[:-1]) | (block[1:] != block[:-1])
-        common[new & (common == depth)] = k
+        common[new & ~apart] = k  # neighbours that are apart stay so, at the same place
         apart = new
-    common[apart & (common == depth)] = depth - 1
     return shard, common
 
 
