@@ -51,8 +51,7 @@ def futures_plan(
         F.col(last).alias("last_update"),
         F.col("instrument_status_on_exchange").alias("status"),
     )
-    stored = store.read(spark, series_table(data_type, interval))
-    return fetch_plan(wanted, stored.select("market", "mapped_instrument", "datetime"), interval, now)
+    return fetch_plan(wanted, store.marks(spark, series_table(data_type, interval)), interval, now)
 
 
 def store_candles(
@@ -61,5 +60,5 @@ def store_candles(
     """Upsert the landed candles that are newer than what is stored for their key."""
     table = series_table(data_type, interval)
     batch = candle_batch(spark, path, SERIES[data_type][0], run_ts)
-    fresh = newer_than_stored(batch, store.read(spark, table), ["market", "mapped_instrument"])
+    fresh = newer_than_stored(batch, store.marks(spark, table), ["market", "mapped_instrument"])
     store.upsert(fresh, table)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketlake.operators import maintain
+from marketlake.operators.fetchplan import high_water
 from marketlake.operators.latest import latest_per_key
 from marketlake.schemas import TABLES
 
@@ -32,9 +33,9 @@ class Store:
         if (start is not None or end is not None) and spec.partition_source is None:
             raise ValueError(f"{table} is not partitioned by time")
         path = self.path(table)
-        if not maintain._exists(spark, path):
+        if not maintain.stored(spark, path):
             return spark.createDataFrame([], spec.schema)
-        stored = spark.read.schema(spec.schema).parquet(path)
+        stored = maintain.read_table(spark, path, spec.schema)
         if start is not None:
             first = F.to_date(F.date_trunc(spec.partition_unit, start))
             stored = stored.where((F.col("date") >= first) & (F.col(spec.partition_source) >= start))
@@ -62,11 +63,43 @@ class Store:
             return self.append(rows, table)
         rows, partitions = self._partitioned(rows.select(*spec.names), table)
         latest = [c for c in (spec.latest, *spec.names) if c is not None and c not in spec.key]
-        maintain.upsert_table(rows, self.path(table), spec.key, list(dict.fromkeys(latest)), partitions)
+        after = (lambda fresh: self._raise_marks(fresh, table)) if self._marked(table) else None
+        maintain.upsert_table(
+            rows, self.path(table), spec.key, list(dict.fromkeys(latest)), partitions, after=after
+        )
 
     def append(self, rows: DataFrame, table: str) -> None:
-        rows, partitions = self._partitioned(rows.select(*TABLES[table].names), table)
-        maintain.append(rows, self.path(table), partitions)
+        partitioned, partitions = self._partitioned(rows.select(*TABLES[table].names), table)
+        maintain.append(partitioned, self.path(table), partitions)
+        if self._marked(table):
+            self._raise_marks(rows, table)
+
+    @staticmethod
+    def _marked(table: str) -> list[str]:
+        """Key columns besides the time of a keyed series; empty for other tables."""
+        spec = TABLES[table]
+        return [k for k in spec.key if k != spec.partition_source] if spec.partition_source in spec.key else []
+
+    def marks(self, spark: SparkSession, table: str) -> DataFrame:
+        """High-water mark per key of a series: the key columns and the newest stored time, under its own name.
+
+        Kept up by every upsert and append, so that no series folder is opened;
+        only a series stored before there were marks is scanned, once.  A job
+        that stops between a change and its marks leaves them too low: rows are
+        then requested again and replace themselves.
+        """
+        keys, time = self._marked(table), TABLES[table].partition_source
+        if not keys:
+            raise ValueError(f"{table} is no keyed series")
+        path = f"{self.path(table)}.marks"
+        if maintain.stored(spark, path):
+            return maintain.read_table(spark, path)
+        return high_water(self.read(spark, table), keys, time, time)
+
+    def _raise_marks(self, fresh: DataFrame, table: str) -> None:
+        keys, time = self._marked(table), TABLES[table].partition_source
+        raised = high_water(fresh, keys, time, time).unionByName(self.marks(fresh.sparkSession, table))
+        maintain.upsert_table(raised, f"{self.path(table)}.marks", keys, [time])
 
     def deduplicated(self, spark: SparkSession, table: str) -> DataFrame:
         """The stored table with one row per key."""

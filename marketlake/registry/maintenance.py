@@ -226,6 +226,30 @@ def _dedup_swap(t: Tables) -> DataFrame:
     return t.spark.table(name)
 
 
+@register("dedup_swap_partitioned", LINE_LATEST_SQL)
+def _dedup_swap_partitioned(t: Tables) -> DataFrame:
+    path = shared_path(t.spark, "dedup_parts")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    maintain.publish_table(t.spark, name, t.lineitem, f"{path}/v1", ["l_returnflag"])
+    maintain.deduplicate_table(t.spark, name, LINE_KEYS, LINE_ORDER, f"{path}/v2")
+    return t.spark.table(name)
+
+
+@register(
+    "migrate_swap",
+    """SELECT event_id, event_type, CASE WHEN event_type <> 'view'
+         THEN to_timestamp(CAST(floor(epoch(ts)) AS BIGINT)) AT TIME ZONE 'UTC' END AS seen FROM events""",
+)
+def _migrate_swap(t: Tables) -> DataFrame:
+    path = shared_path(t.spark, "migrated")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    raw = t.events.select("event_id", "event_type", F.when(F.col("event_type") != "view", seconds).alias("seen"))
+    maintain.publish_table(t.spark, name, raw, f"{path}/v1", ["event_type"])
+    maintain.migrate_table(t.spark, name, ["seen"], f"{path}/v2")
+    return t.spark.table(name)
+
+
 @register(
     "csv_roundtrip",
     "SELECT o_orderdate, o_orderkey, o_orderpriority, o_totalprice FROM orders",

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketlake import functions as fn
 from marketlake.operators import fetchplan
+from marketlake.plans.store import Store
 from marketlake.registry.base import TRADES_SQL, Tables, register, trades
+from marketlake.schemas import TABLES
+from marketlake.session import shared_path
 
 MID = "timestamp_ntz'2024-01-16'"
 
@@ -80,27 +83,50 @@ _PLANS = {
     "fetch_plan_1h": ("1h", "HOUR", 100, "2024-02-01 10:30:15"),
     "fetch_plan_1m": ("1m", "MINUTE", 2000, "2024-02-01 10:30:15"),
 }
+
+
+def _plan_input(t: Tables, unit: str) -> tuple[DataFrame, DataFrame]:
+    """Instruments, and the bars stored for some of them."""
+    base = trades(t).withColumnRenamed("instrument", "mapped_instrument")
+    second = lambda c: F.date_trunc("second", c).cast("timestamp_ntz")
+    instruments = base.groupBy("market", "mapped_instrument").agg(
+        second(F.max("ts")).alias("last_update"), second(F.min("ts")).alias("first")
+    )
+    instruments = instruments.select(
+        "market",
+        "mapped_instrument",
+        "last_update",
+        F.when(F.col("mapped_instrument") != "error", F.col("first")).alias("first_update"),
+        F.when(F.col("market").isin("m0", "m1", "m2"), "ACTIVE").otherwise("EXPIRED").alias("status"),
+    )
+    stored = base.where("ts < timestamp_ntz'2024-01-20' and mapped_instrument in ('click', 'view')")
+    return instruments, stored.select("market", "mapped_instrument", fn.period_start("ts", unit).alias("datetime"))
+
+
 for _name, (_interval, _unit, _points, _now) in _PLANS.items():
 
     @register(_name, _plan_sql(_unit, _points, _now))
     def _fetch_plan(t: Tables, interval=_interval, unit=_unit, points=_points, now=_now) -> DataFrame:
-        base = trades(t).withColumnRenamed("instrument", "mapped_instrument")
-        second = lambda c: F.date_trunc("second", c).cast("timestamp_ntz")
-        instruments = base.groupBy("market", "mapped_instrument").agg(
-            second(F.max("ts")).alias("last_update"), second(F.min("ts")).alias("first")
-        )
-        instruments = instruments.select(
-            "market",
-            "mapped_instrument",
-            "last_update",
-            F.when(F.col("mapped_instrument") != "error", F.col("first")).alias("first_update"),
-            F.when(F.col("market").isin("m0", "m1", "m2"), "ACTIVE").otherwise("EXPIRED").alias("status"),
-        )
-        stored = base.where("ts < timestamp_ntz'2024-01-20' and mapped_instrument in ('click', 'view')")
-        stored = stored.select("market", "mapped_instrument", fn.period_start("ts", unit).alias("datetime"))
+        instruments, stored = _plan_input(t, unit)
         return fetchplan.fetch_plan(instruments, stored, interval, F.lit(now), max_points=points)
 
 
+@register("incremental_plan", _plan_sql(*_PLANS["fetch_plan_1h"][1:]))
+def _incremental_plan(t: Tables) -> DataFrame:
+    """The hourly plan from the marks of a stored series, which three upserts have kept up."""
+    store = Store(shared_path(t.spark, "store"))
+    instruments, stored = _plan_input(t, "HOUR")
+    spec = TABLES["futures_ohlcv_1h"]
+    bars = stored.distinct()
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields if f.name not in bars.columns]
+    bars = bars.select("*", *empty).select(*spec.names)
+    for part in ("day(datetime) % 3 = 1", "day(datetime) % 3 = 0", "day(datetime) % 3 = 2"):
+        store.upsert(bars.where(part), "futures_ohlcv_1h")
+    return fetchplan.fetch_plan(
+        instruments, store.marks(t.spark, "futures_ohlcv_1h"), "1h", F.lit(_PLANS["fetch_plan_1h"][3]), max_points=100
+    )
+
+
 def _daily_sql(backfill: int) -> str:
     return f"""
 WITH hw AS (SELECT o_custkey, max(o_orderdate) AS h FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),

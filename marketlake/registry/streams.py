@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from marketlake import streaming
-from marketlake.operators.maintain import upsert_batches
+from marketlake.operators.maintain import read_table, upsert_batches
 from marketlake.registry.base import KEYS, TRADES_SQL, Tables, register, rounded, trades
 from marketlake.registry.series import candles_cte, rounded_sql
 from marketlake.session import shared_path
@@ -75,3 +75,30 @@ def _stream_messages(t: Tables) -> DataFrame:
     )
     streaming.drain(parsed, out, shared_path(t.spark, "parsed-state"))
     return t.spark.read.parquet(out)
+
+
+@register("stream_candles_1m", f"WITH {candles_cte('minute')} {rounded_sql('candles')}")
+def _stream_open_candles(t: Tables) -> DataFrame:
+    """All minute bars, those still open included: each batch upserts the bars it changed."""
+    out, checkpoint = shared_path(t.spark, "open-bars"), shared_path(t.spark, "open-bars-state")
+    bars = streaming.live_candles(_stream(t), KEYS, "1m")
+    bars = bars.withColumn("date", F.to_date("datetime"))
+    streaming.upsert_stream(
+        bars, out, checkpoint, [*KEYS, "datetime"], ["last_trade_timestamp"], ["date"], "update", "bars"
+    ).awaitTermination()
+    stored = read_table(t.spark, out).drop("date")
+    return rounded(streaming.closed_candles(stored, KEYS, "1m"))
+
+
+@register("stream_resume", f"WITH {TRADES_SQL} SELECT *, CAST(ts AS DATE) AS date FROM trades")
+def _stream_resume(t: Tables) -> DataFrame:
+    """Trades landing in three parts, the last one a repeat, picked up by three runs of one checkpoint."""
+    landed, out, state = (shared_path(t.spark, n) for n in ("landed", "resumed", "resumed-state"))
+    rows = trades(t).withColumn("date", F.to_date("ts"))
+    for part in ("seq % 2 = 0", "seq % 2 = 1", "seq % 4 = 0"):
+        rows.where(part).write.mode("append").parquet(landed)
+        stream = streaming.open_trade_stream(t.spark, landed, rows.schema)
+        streaming.upsert_stream(
+            stream, out, state, [*KEYS, "seq"], ["ts"], ["date"], name="trades"
+        ).awaitTermination()
+    return read_table(t.spark, out)

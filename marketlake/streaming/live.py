@@ -44,6 +44,9 @@ def unique_live_trades(trades: DataFrame, keys: Sequence[str], delay: str = DELA
 def live_candles(trades: DataFrame, keys: Sequence[str], interval: str, delay: str = DELAY) -> DataFrame:
     """Candles over tumbling windows; in append mode a bar appears once it is closed.
 
+    In update mode every bar that a micro-batch changed comes out as it is by
+    then, open or closed; upserted by key, the table holds all bars at any time.
+
     The open is the first trade of the bar: the carried open needs the previous
     bar and is applied on reading (:func:`closed_candles`).
     """
@@ -66,12 +69,17 @@ def upsert_stream(
     latest: Sequence[str],
     partition_by: Sequence[str] = (),
     output_mode: str = "append",
+    name: str | None = None,
 ) -> StreamingQuery:
-    """Upsert each micro-batch into a Parquet table; available input, then stop."""
+    """Upsert each micro-batch into a Parquet table; available input, then stop.
+
+    Started again with the same ``checkpoint`` it picks up where it stopped.
+    With a ``name`` a batch that reached the table before a crash is not applied again.
+    """
     return (
         stream.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(upsert_batches(path, keys, latest, partition_by))
+        .foreachBatch(upsert_batches(path, keys, latest, partition_by, name))
         .trigger(availableNow=True)
         .start()
     )

@@ -226,3 +226,87 @@ def test_export_keeps_microseconds_and_other_text(rows):
     assert [tuple(r) for r in back] == [tuple(r) for r in df.orderBy("id").collect()]
     with pytest.raises(Exception, match="no timestamp"):
         maintain.text_to_timestamps(text).collect()
+
+
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("partition_by", [[], ["day"]])
+@pytest.mark.parametrize("step", ["before the commit", "before moving in", "between two folders", "before the release"])
+def test_upsert_stopped_between_steps(spark, rows, tmp_path, monkeypatch, partition_by, step):
+    """Whatever step a job stops at, readers find the old or the new table, and the next writer goes on."""
+    path = str(tmp_path / "t")
+    ddl = "id int, v string, at int, day string"
+    old = [(i, "old", 1, f"d {i % 4}") for i in range(8)]
+    new = [(i, "new", 2, f"d {i % 4}") for i in (0, 1, 2, 9)]
+    maintain.upsert_table(rows(old, ddl), path, ["id", "day"], ["at"], partition_by)
+
+    moved = []
+
+    def stop(*_, **__):
+        raise Stop
+
+    def rename(spark_, source, target, real=maintain._rename):
+        if "/merged" in source:
+            moved.append(target)
+            if len(moved) == (2 if partition_by else 1):
+                raise Stop  # the folder to be replaced is gone by now
+        return real(spark_, source, target)
+
+    with monkeypatch.context() as patch:
+        name = {"before the commit": "_commit", "before moving in": "_move_in", "before the release": "_write_note"}
+        if step == "between two folders":
+            patch.setattr(maintain, "_rename", rename)
+        elif step == "before the release":
+            real = maintain._write_note
+            patch.setattr(
+                maintain, "_write_note", lambda s, p, n: stop() if ".batches" in p else real(s, p, n)
+            )
+        else:
+            patch.setattr(maintain, name[step], stop)
+        with pytest.raises(Stop):
+            maintain.upsert_table(rows(new, ddl), path, ["id", "day"], ["at"], partition_by, ("s", 3))
+
+    def held():
+        table = maintain.read_table(spark, path).select("id", "v", "at", "day")
+        return sorted(map(tuple, table.collect()))
+
+    merged = sorted({**{r[0]: r for r in old}, **{r[0]: r for r in new}}.values())
+    done = step != "before the commit"
+    assert held() == (merged if done else sorted(old))
+    assert maintain.last_batch(spark, path, "s") == (3 if done else -1)
+    maintain.upsert_table(rows([(20, "more", 3, "d 1")], ddl), path, ["id", "day"], ["at"], partition_by)
+    assert held() == sorted([*(merged if done else old), (20, "more", 3, "d 1")])
+    assert maintain.last_batch(spark, path, "s") == (3 if done else -1)
+    assert sorted(p.name for p in tmp_path.iterdir() if "pending" in p.name or "staged" in p.name) == []
+
+
+def test_published_table_changes_in_one_step(spark, rows, tmp_path, monkeypatch):
+    ddl = "id int, at int, part string"
+    maintain.publish_table(spark, "shown_parts", rows([(1, 1, "a"), (1, 2, "a"), (2, 1, "b")], ddl), f"{tmp_path}/v1", ["part"])
+
+    def held():
+        return sorted(map(tuple, spark.table("shown_parts").collect()))
+
+    before = held()
+    with monkeypatch.context() as patch:
+        # everything but the last step is done: partitions included
+        patch.setattr(maintain, "publish_table", lambda s, n, r, p, by: maintain._write_version(s, n, r, p, by))
+        maintain.deduplicate_table(spark, "shown_parts", ["id"], ["at"], f"{tmp_path}/v2")
+    assert held() == before
+    maintain.deduplicate_table(spark, "shown_parts", ["id"], ["at"], f"{tmp_path}/v3")
+    assert held() == [(1, 2, "a"), (2, 1, "b")]
+    maintain.migrate_table(spark, "shown_parts", ["at"], f"{tmp_path}/v4")
+    assert dict(spark.table("shown_parts").dtypes)["at"] == "timestamp_ntz"
+
+
+def test_stream_ledger(spark, rows, tmp_path):
+    """A batch delivered again is not applied; an empty batch is only noted."""
+    path = str(tmp_path / "t")
+    write = maintain.upsert_batches(path, ["id"], ["at"], stream="s")
+    write(rows([(1, 1)], "id int, at int"), 0)
+    write(rows([(1, 2)], "id int, at int"), 0)
+    write(rows([], "id int, at int"), 1)
+    assert [tuple(r) for r in maintain.read_table(spark, path).collect()] == [(1, 1)]
+    assert maintain.last_batch(spark, path, "s") == 1

@@ -8,6 +8,7 @@ from marketlake.operators import select
 from marketlake.operators.select import top_assets
 from marketlake.plans import linking, selection, transfer
 from marketlake.plans.store import Store
+from marketlake.schemas import TABLES
 from marketlake.sources import conform_records, scan
 
 
@@ -162,3 +163,33 @@ def test_range_read_prunes_partitions(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
     assert store.read(spark, "futures_ohlcv_1m").count() == 5
+
+
+def test_marks_spare_the_series(spark, rows, tmp_path):
+    """Plans and batches read the marks of a series, not its folders."""
+    store = Store(str(tmp_path))
+    spec = TABLES["futures_ohlcv_1h"]
+
+    def bars(data):
+        given = rows(data, "datetime timestamp_ntz, market string, mapped_instrument string, collected_at timestamp_ntz")
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields if f.name not in given.columns]
+        return given.select("*", *empty)
+
+    now = at("2024-05-01 00:00:00")
+    store.upsert(bars([(at("2024-03-01 05:00:00"), "m", "a", now), (at("2024-04-01 01:00:00"), "m", "b", now)]), "futures_ohlcv_1h")
+    store.upsert(bars([(at("2024-02-01 05:00:00"), "m", "a", now), (at("2024-04-02 01:00:00"), "m", "c", now)]), "futures_ohlcv_1h")
+    marks = store.marks(spark, "futures_ohlcv_1h")
+    assert sorted((r.mapped_instrument, r.datetime) for r in marks.collect()) == [
+        ("a", at("2024-03-01 05:00:00")),
+        ("b", at("2024-04-01 01:00:00")),
+        ("c", at("2024-04-02 01:00:00")),
+    ]
+    files = marks.inputFiles()
+    assert files and all(".marks/" in f for f in files)
+    with pytest.raises(ValueError):
+        store.marks(spark, "assets")
+
+
+def test_marks_of_a_series_stored_before(spark, rows, tmp_path):
+    store = Store(str(tmp_path))
+    assert store.marks(spark, "futures_ohlcv_1d").count() == 0
