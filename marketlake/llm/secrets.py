@@ -1,14 +1,20 @@
 """Secret scans by assignment-aware lexing.
 
-Each text is read as source or configuration: every ``name = literal`` style
-statement becomes a (name, literals) pair, names bound to literals are
-propagated as constants through ``+``, and a literal is scored by how sensitive
-the name is that it ends up in.  Three plain patterns (assignments, access
-keys, long hexadecimal runs) are always reported.
+Each text is cut into tokens once, from left to right: comments, texts (triple
+quoted ones too), names, operators, brackets and bare runs; what stands in a
+comment or a text is no code.  Statements become (name, literal) pairs: plain,
+annotated, subscripted and tuple targets, keyword arguments, keys of JSON, YAML,
+ini and env files, elements of XML, setters.  Names bound to literals are
+propagated as constants through ``+`` and brackets, results of calls are unknown,
+and a literal is scored by how sensitive the name is that it ends up in.  Every
+token is read a bounded number of times, so the work grows with the text.  Three
+plain patterns (assignments, access keys, long hexadecimal runs) are always
+reported.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 import math
 import re
 
@@ -45,14 +51,18 @@ _SENSITIVE = {
 }
 _PLACEHOLDERS = ("example", "changeme", "placeholder", "your_", "xxxx", "<", "${", "{{", "none", "null", "true", "false")
 
-_OPERATOR = re.compile(r":=|=>|(?<![=!<>:])=(?![=])|(?<!:):(?![:/=])")
-_NAME_BEFORE = re.compile(r"""["']?([A-Za-z_][A-Za-z0-9_.\-]*)["']?[ \t]*$""")
-_TERM = re.compile(
-    r"""[ \t]*(?:(?P<text>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*)|(?P<bare>[^\s"'#;,(){}\[\]]+))"""
+_TOKEN = re.compile(
+    r"""(?P<comment>(?<!\S)\#[^\n]*|(?<![:\w])//[^\n]*)|(?P<block>/\*|<!--)
+    |(?P<long>\"{3}|'{3})|(?P<text>"(?:[^"\\\n]|\\.)*"|(?<!\w)'(?:[^'\\\n]|\\.)*')
+    |(?P<element><[A-Za-z_][\w.\-]*>[^<>\n]+(?=</))
+    |(?P<name>[A-Za-z_][\w\-]*(?:\.[A-Za-z_][\w\-]*)*)|(?P<op>:=|=>|[=!<>]=+|\|\||\?\?|[=:+?])
+    |(?P<open>[(\[{])|(?P<close>[)\]}])|(?P<sep>[,;&])|(?P<line>\n)|(?P<bare>[^\s"'(){}\[\],;&=:+?<>]+)|(?P<other>[^\s])""",
+    re.VERBOSE,
 )
-_PLUS = re.compile(r"[ \t]*\+[ \t]*")
-# Longer values are no keys; not propagating them keeps ``a = a + a`` from doubling without end.
-LONGEST_CONSTANT = 65_536
+_BARE = re.compile(r"""(?:[^\s"'#;,(){}\[\]&<>=:]|(?<=\S)\#|:(?=//)|=+(?=[\s"'#;,)}\]&]|$))+""")
+_CLOSERS = {"/*": "*/", "<!--": "-->", '"""': '"""', "\'\'\'": "\'\'\'"}
+_ASSIGNS = (":=", "=>", "=", ":")
+_JOINS = ("if", "else", "or", "||", "??", "?", ":", "and", "not")
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -62,14 +72,43 @@ def name_score(name: str) -> float:
     return min(1.0, max(weights, default=0.0) + 0.2 * (sum(w > 0 for w in weights) > 1))
 
 
-def literal_score(value: str) -> float:
+class Value:
+    """What a name is bound to: its characters counted, and the literals and values it is made of."""
+
+    __slots__ = ("counts", "fit", "parts", "size")
+
+    def __init__(self, text: str = "", span: tuple[int, int] | None = None):
+        self.counts, self.size = Counter(text), len(text)
+        self.fit = not any(p in text.lower() for p in _PLACEHOLDERS)
+        self.parts: list = [span] if span else []
+
+    def joined(self, other: "Value") -> "Value":
+        out = Value()
+        out.counts, out.size = self.counts + other.counts, self.size + other.size
+        out.fit, out.parts = self.fit and other.fit, [self, other]
+        return out
+
+    def literals(self, seen: "set[Value]") -> list[tuple[int, int]]:
+        """Spans of the literals, without those of values seen before."""
+        out, stack = [], [self]
+        while stack:
+            part = stack.pop()
+            if isinstance(part, tuple):
+                out.append(part)
+            elif part not in seen:
+                seen.add(part)
+                stack.extend(part.parts)
+        return out
+
+
+def literal_score(value: Value | str) -> float:
     """How much a literal looks like key material: length and character entropy, 0 for placeholders."""
-    low = value.lower()
-    if len(value) < 6 or any(p in low for p in _PLACEHOLDERS) or any(c.isspace() for c in value):
+    value = Value(value) if isinstance(value, str) else value
+    if value.size < 6 or not value.fit or any(c.isspace() for c in value.counts):
         return 0.0
-    counts = [value.count(c) for c in set(value)]
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts)
-    mixed = any(c.isdigit() for c in value) + any(c.isalpha() for c in value) + any(not c.isalnum() for c in value)
+    entropy = -sum(n / value.size * math.log2(n / value.size) for n in value.counts.values())
+    chars = value.counts
+    mixed = any(c.isdigit() for c in chars) + any(c.isalpha() for c in chars) + any(not c.isalnum() for c in chars)
     return min(1.0, entropy / 3.5) * (0.6 + 0.2 * mixed)
 
 
@@ -85,60 +124,170 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return spans
 
 
-def assignments(text: str):
-    """(name, value, spans of the literals it is made of), constants propagated, in order of appearance."""
-    constants: dict[str, tuple[str, list[tuple[int, int]]]] = {}
-    for op in _OPERATOR.finditer(text):
-        line = text.rfind("\n", 0, op.start()) + 1
-        found = _NAME_BEFORE.search(text, max(line, op.start() - 160), op.start())
+def tokens(text: str) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of all tokens; a text's span is that between its quotes, comments are left out."""
+    out, at, unclosed = [], 0, set()
+    while True:
+        found = _TOKEN.search(text, at)
         if not found:
-            continue
-        name, at, value, spans, known = found[1], op.end(), "", [], True
+            return out
+        kind, start, at = found.lastgroup, found.start(), found.end()
+        if kind in ("block", "long"):
+            mark = found[0]
+            close = -1 if mark in unclosed else text.find(_CLOSERS[mark], at)
+            if close < 0:
+                unclosed.add(mark)  # looked for once
+                kind = "other"
+            else:
+                if kind == "long":
+                    out.append(("text", at, close))
+                at = close + len(_CLOSERS[mark])
+                continue
+        if kind == "text":
+            out.append((kind, start + 1, at - 1))
+        elif kind == "element":
+            name = text.index(">", start)
+            out += [("name", start + 1, name), ("tag", name, name + 1), ("inside", name + 1, at)]
+        elif kind != "comment":
+            out.append((kind, start, at))
+
+
+def assignments(text: str):
+    """(name, :class:`Value`) of all statements that bind literals, constants propagated, in order of appearance."""
+    found = tokens(text)
+    n = len(found)
+    constants: dict[str, Value] = {}
+
+    def word(i: int) -> str:
+        return text[found[i][1] : found[i][2]] if i < n else ""
+
+    def kind(i: int) -> str:
+        return found[i][0] if 0 <= i < n else ""
+
+    def value(i: int, nested: int = 0) -> tuple[Value | None, bool, int]:
+        """Value from token i on, whether all of it is known, and the token after it."""
+        total, known = None, True
         while True:
-            term = _TERM.match(text, at)
-            if not term:
-                known = False
-                break
-            at = term.end()
-            if term["text"] is not None:
-                value += term["text"][1:-1]
-                spans.append((term.start("text") + 1, term.end("text") - 1))
-            elif term["name"] is not None and term["name"] in constants:
-                held, where = constants[term["name"]]
-                value += held
-                spans += where
-            elif not spans and (term["name"] or term["bare"]):
-                group = "name" if term["name"] is not None else "bare"
-                # a bare value is a literal of its own, up to the end of its run
-                end = term.end(group)
-                while end < len(text) and not text[end].isspace() and text[end] not in "\"'#;,(){}[]+":
+            while nested and kind(i) == "line":
+                i += 1
+            if kind(i) == "text":
+                part, i = Value(word(i), found[i][1:]), i + 1
+                if kind(i) == "open" and word(i) == "[":
+                    known = False
+            elif kind(i) == "name" and kind(i + 1) == "open" and found[i][2] == found[i + 1][1] and word(i + 1) == "(":
+                return None, False, i + 1  # a call: nobody knows
+            elif kind(i) == "name" and word(i) in constants:
+                part, i = constants[word(i)], i + 1
+            elif kind(i) == "open" and word(i) == "(" and nested < 50:
+                part, inner, i = value(i + 1, nested + 1)
+                known &= inner
+                while kind(i) == "line":
+                    i += 1
+                i += kind(i) == "close"
+                if part is None:
+                    return total, False, i
+            else:
+                return total, False, i
+            total = part if total is None else total.joined(part)
+            while nested and kind(i) == "line":
+                i += 1
+            adjacent = nested and kind(i) == "text"  # texts side by side are one
+            if not adjacent:
+                if word(i) != "+" or kind(i) != "op":
+                    return total, known, i
+                i += 1
+
+    def bare(i: int) -> tuple[tuple[int, int] | None, int]:
+        """Span of an unquoted value at token i and the token after it; none where it names a further target."""
+        if kind(i) not in ("name", "bare", "other", "op") or word(i) in _ASSIGNS or word(i)[:1] in "<>":
+            return None, i
+        run = _BARE.match(text, found[i][1])
+        if not run:
+            return None, i
+        j = i
+        while j < n and found[j][1] < run.end():
+            j += 1
+        if kind(j) == "op" and word(j) in _ASSIGNS and found[j][1] == run.end() or word(j) == "(" and found[j][1] == run.end():
+            return None, i
+        return run.span(), j
+
+    def target(i: int) -> str | None:
+        """Name that ends right before token i."""
+        if kind(i - 1) in ("name", "text"):
+            return word(i - 1)
+        if kind(i - 1) == "close" and word(i - 1) == "]" and kind(i - 2) == "text" and word(i - 3) == "[":
+            return word(i - 2)
+        return None
+
+    i = 0
+    while i < n:
+        token = word(i)
+        if kind(i) == "tag":
+            yield word(i - 1), Value(word(i + 1).strip(), found[i + 1][1:])
+            i += 2
+            continue
+        if kind(i) == "name" and word(i + 1) == "(" and kind(i + 2) == "text" and word(i + 3) == ")":
+            setter = token.rsplit(".", 1)[-1]
+            if setter.lower().startswith("set") and len(setter) > 3:
+                yield setter[3:], Value(word(i + 2), found[i + 2][1:])
+        if kind(i) != "op" or token not in _ASSIGNS or (name := target(i)) is None:
+            i += 1
+            continue
+        names, back = [name], i - 2
+        while token != ":" and kind(back) == "sep" and word(back) == "," and kind(back - 1) == "name":
+            names.append(word(back - 1))
+            back -= 2
+        names.reverse()
+        at = i + 1
+        if token == ":" and kind(at) == "name":  # an annotation, then the value
+            end = at + 1
+            if word(end) == "[":
+                while end < min(n, at + 12) and word(end) != "]":
                     end += 1
-                if end > term.end(group) or not _PLUS.match(text, end):
-                    value, spans, at = text[term.start(group) : end], [(term.start(group), end)], end
-                    break
-                known = False
+                end += 1
+            if kind(end) == "op" and word(end) == "=" and text[found[end - 1][2] : found[end][1]].strip(" \t") == "":
+                if found[end][1] > found[end - 1][2]:
+                    at = end + 1
+        i = at
+        for name in names:
+            held, known, after = value(at)
+            if held is None and (run := bare(at))[0]:
+                span, after = run
+                held, known = Value(text[span[0] : span[1]], span), True
+            if held is not None:
+                if known:
+                    constants[name] = held
+                else:
+                    constants.pop(name, None)
+                yield name, held
             else:
-                known = False
-            plus = _PLUS.match(text, at)
-            if not plus or plus.end() == at:
+                constants.pop(name, None)
+            # either literal of a conditional, up to the end of the line
+            chosen = False
+            while kind(after) in ("name", "text", "op", "bare") and (chosen or word(after) in _JOINS) and kind(after) != "line":
+                chosen = True
+                if word(after) in ("=", ":="):
+                    break
+                if kind(after) == "text":
+                    yield name, Value(word(after), found[after][1:])
+                    constants.pop(name, None)
+                after += 1
+            i = max(i, after)
+            at = after
+            if len(names) == 1 or word(at) != ",":
                 break
-            at = plus.end()
-        if spans:
-            spans = list(dict.fromkeys(spans))
-            if known and len(value) <= LONGEST_CONSTANT:
-                constants[name] = (value, spans)
-            yield name, value, spans
+            at += 1
 
 
 def scan(text: str, threshold: float = 0.5) -> list[tuple[int, int, str]]:
     """All spans of a text by start, then kind."""
     spans = base_spans(text)
-    if "=" in text or ":" in text:
-        added = set()
-        for name, value, where in assignments(text):
+    if any(c in text for c in "=:<("):
+        added, seen = set(), set()
+        for name, value in assignments(text):
             sensitive = name_score(name)
             if sensitive and sensitive * literal_score(value) >= threshold:
-                added.update((a, b, "literal") for a, b in where if b > a)
+                added.update((a, b, "literal") for a, b in value.literals(seen) if b > a)
         spans += added
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
