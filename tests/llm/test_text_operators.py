@@ -131,6 +131,63 @@ def test_constants_reach_sensitive_names():
     assert len(list(secrets.assignments(doubling))) > 10
 
 
+KEY, OTHER = "Zk9-qW3x77", "Qm4-zT8y11"
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        (f'cfg["api_token"] = "{KEY}"', [KEY]), (f'db_password: str = "{KEY}"', [KEY]),
+        (f'private_key = ("{KEY}"\n  "{OTHER}")', [KEY, OTHER]), (f'secret = """{KEY}"""', [KEY]),
+        (f'self.private_key, x = "{KEY}", 1', [KEY]), (f'x, api_key = 1, "{KEY}"', [KEY]),
+        (f"<private_key>{KEY}</private_key>", [KEY]), (f'conn.setPassword("{KEY}")', [KEY]),
+        (f'password = "{KEY}" if prod else "{OTHER}"', [KEY, OTHER]), (f'password = prod ? "{KEY}" : "{OTHER}"', [KEY, OTHER]),
+        (f'private_key = dict(a="{KEY}")', []), ("k = other()\nsecret_key = k", []),
+        ("private_key = load_private_key_pem_v2(path)", []), (f'# password = "{KEY}"', []), (f'x = "password = {KEY}"', []),
+        (f'/* secret_key = "{KEY}" */ a = 1', []), (f"export API_KEY={KEY}==", [KEY + "=="]),
+        (f'{{"api_key": "{KEY}", "b": 1}}', [KEY]), (f"api_key: {KEY}\nother: 1", [KEY]), (f"config: password={KEY}", [KEY]),
+        (f'connect(host="h", password="{KEY}")', [KEY]), (f'a = "{KEY}"\nb = a\npassword = b', [KEY]),
+        (f'a = "{KEY}"\na = other()\npassword = a', []), ('auth_token = "changeme-now1"', []),
+    ],
+)
+def test_literals(text, found):
+    assert [text[a:b] for a, b, kind in secrets.scan(text) if kind == "literal"] == found
+
+
+def test_programs_against_evaluation():
+    """Straight-line programs of literals, names and sums: what Python binds to the sensitive name."""
+    chance = Random(4)
+    for _ in range(200):
+        names, lines_, held = ["a", "b", "c"], [], {}
+        for _ in range(8):
+            terms = []
+            for _ in range(chance.randint(1, 3)):
+                known = [x for x in names if x in held]
+                literal = '"' + "".join(chance.choice("Zk9qW3x7LmP") for _ in range(7)) + '"'
+                terms.append(chance.choice(known) if known and chance.random() < 0.5 else literal)
+            name = chance.choice(names)
+            lines_.append(f"{name} = {' + '.join(terms)}")
+            exec(lines_[-1], {}, held)
+        lines_.append(f"password = {chance.choice([x for x in names if x in held])}")
+        exec(lines_[-1], {}, held)
+        value = dict(secrets.assignments("\n".join(lines_)))["password"]
+        assert value.size == len(held["password"])
+        assert value.counts == {c: held["password"].count(c) for c in set(held["password"])}
+
+
+def test_scan_grows_with_the_text():
+    """Runs without a space or a closing quote: ten times the text takes about ten times as long."""
+    from time import process_time
+
+    for unit in ("k1=v1abc&", "a=b", "password=a", '"""', "/*", "a=(", "<a>", "x,", "a:b", "key = key + 'y2'\n"):
+        took = []
+        for n in (3_000, 30_000):
+            start = process_time()
+            secrets.scan(unit * n + "=1")
+            took.append(process_time() - start)
+        assert took[1] < 40 * max(took[0], 0.02), unit
+
+
 def test_find_secrets(docs_of):
     rows = docs_of([(1, None), (2, ""), (3, "token=abcdef"), (3, "token=abcdef")])
     got = sorted((r.doc_id, [(s.kind, s.start, s.end) for s in r.secrets]) for r in secrets.find_secrets(rows).collect())
