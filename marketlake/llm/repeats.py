@@ -5,7 +5,7 @@ hash of its ``core``-byte substrings.  Equal windows have equal anchors, so runs
 of windows with one anchor (segments) are dealt by the anchor's hash, and only
 segments that share it can share a window.  Identical segments are counted
 before they are dealt.  Where different segments meet, a task sorts them in
-shards, each to a Burrows-Wheeler transform over 8-byte letters, and merges the
+shards, each to a Burrows-Wheeler transform over letters of 40 bytes, and merges the
 shards by interleave refinement: the interleave of all shards, at first their
 concatenation, is refined one letter at a time by a stable sort of the letters
 that the transforms give in its order; no suffix is sorted again.  Where
@@ -33,6 +33,7 @@ LENGTH = 200
 CORE = 40
 GROUP = 6_000  # different segments of an anchor merged in one task; more are dealt by longer cores
 SHARD = 8_192  # letters of a shard, more where a batch would need over 255 shards
+LETTER = 40  # bytes of a letter at most
 BATCH = 60_000  # bytes merged at once (a group is never cut)
 FILTER_BITS = 1 << 26  # bits of the broadcast row filter (8 MB)
 _PIECE = 1 << 20  # windows anchored at once
@@ -152,6 +153,29 @@ def _emit(length: int):
     return run
 
 
+def _ranks(data: np.ndarray, width: int) -> np.ndarray:
+    """Rank of every substring of ``width`` bytes: equal only where the bytes are."""
+    unit = next(u for u in (8, 5, 4, 3, 2, 1) if width % u == 0)
+    current = np.zeros(len(data) - unit + 1, np.uint64)
+    for k in range(unit):
+        current = (current << np.uint64(8)) | data[k : k + len(current)]
+    current = np.unique(current, return_inverse=True)[1]
+    n, done, size, out = len(data) - width + 1, 0, unit, None
+    while True:
+        if (width // unit) & (size // unit):
+            part = current[done : done + n]
+            out = part if out is None else _paired(out, part)
+            done += size
+        if done == width:
+            return out
+        current = _paired(current[:-size], current[size:])
+        size *= 2
+
+
+def _paired(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return np.unique(first * (second.max() + 1) + second, return_inverse=True)[1]
+
+
 def transform(letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of all rotations of the strings of a shard, and their transform (the letter before each).
 
@@ -202,11 +226,9 @@ def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndar
 
 def repeated_windows(pieces: list[bytes], counts: list[int], length: int, shard_letters: int = SHARD) -> list[np.ndarray]:
     """Per piece, which of its windows occur twice among all pieces (a piece counts ``counts`` times)."""
-    width = next(w for w in (8, 5, 4, 2, 1) if length % w == 0)
-    data = np.frombuffer(b"".join(pieces) + bytes(width), np.uint8).astype(np.uint64)
-    value = np.zeros(len(data) - width + 1, np.uint64)
-    for k in range(width):
-        value = (value << np.uint64(8)) | data[k : k + len(value)]
+    width = next(w for w in range(min(LETTER, length), 0, -1) if length % w == 0)
+    data = np.frombuffer(b"".join(pieces) + bytes(width), np.uint8)
+    value = _ranks(data, width)
     sizes = np.array([len(p) for p in pieces])
     base = np.cumsum(sizes) - sizes
     # every piece is `width` strings of letters, one per phase
