@@ -22,7 +22,15 @@ from marketlake.functions.time import (
     ts_to_iso_full,
     zero_date_to_null,
 )
-from marketlake.functions.similarity import name_mask, name_signatures, similarity_ratio
+from marketlake.functions.similarity import (
+    enough_grams,
+    gram_buckets,
+    gram_masks,
+    may_reach,
+    name_mask,
+    name_signatures,
+    similarity_ratio,
+)
 from marketlake.functions.change import change, change_percentage
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Mapping
 from difflib import SequenceMatcher
+from functools import lru_cache, reduce
 from itertools import combinations
 from math import ceil, comb, floor
 import sys
+from zlib import crc32
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 
 # These helpers travel with the UDFs, so that executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -18,8 +22,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 def matcher_ratio(left: str, right: str, floor: float = 0.0) -> float | None:
     """Ratio of two strings, or None once it is known to be below ``floor``.
 
-    The two quick bounds never underestimate, so skipping on them is exact.
+    The quick bounds never underestimate, so skipping on them is exact.
     """
+    if floor and not enough_grams(left, right, floor):
+        return None
     matcher = SequenceMatcher(None, left, right)
     if floor and (matcher.real_quick_ratio() < floor or matcher.quick_ratio() < floor):
         return None
@@ -46,74 +52,133 @@ def similarity_ratio(floor: float = 0.0):
 # --- join keys -------------------------------------------------------------
 #
 # ratio = 2M/T with M matched characters and T = la + lb.  A pair at or above
-# the floor r has M >= need(la, lb) = ceil(r*T/2).  The matched characters are
-# a common subsequence of both names, which gives two kinds of join keys that
-# every passing pair shares; which kind is used follows from (la, lb) alone, so
-# both sides agree on it:
+# the floor r has M >= need(T) = ceil(r*T/2), hence at most T - 2*need
+# characters without a partner.  Each of them ends at most one run of matched
+# characters, so of the q-grams of both names, padded with q - 1 marks at either
+# end, at least
 #
-# * subsequences: leave out l - need characters of each name in every way.
-#   Used while their number is small; only near-identical names meet.
-# * rare sets: order the characters of each name by one fixed order.  Names
-#   with at least `need` characters in common share at least t of the first
-#   l - need + t characters of each, hence a set of t of them.  Used otherwise.
-
-_SIGNATURES = 96  # most rare sets per name and partner length; t follows from it
-_SUBSEQUENCES = 200  # most subsequences per name and partner length
+#     shared(T) = need + (q - 1) * (1 - (T - 2*need))
+#
+# are matched as well, in the same order in both names.
+#
+# Order the grams of a name from rare to frequent, equal ones by place.  The t
+# first matched pairs lie within the first |grams| - shared(T) + t grams of both
+# names.  A join key is t of those grams, in the order of the name; every passing
+# pair has one in common.  t follows from T alone: as many grams as keep the keys
+# of a name within a budget, two at least.
 
-# Any fixed order is correct.  This one puts rare characters first: everything
-# but letters by descending code point, then letters from rare to common.
-_LETTERS = "qxzjvkwyfpbgmhducslntroiae"
-_ORDER = {c: i for i, c in enumerate(_LETTERS, start=1)}
+_KEYS = 100  # most keys per name and sum of lengths, unless two grams need more
+_PADS = ("\x02", "\x03")
+GRAM_BUCKETS = 1 << 16  # frequencies are counted by hash: a bounded table however many grams there are
+_MASK_WORDS = 4
 
 
 def _needed(total: int, ratio: float) -> int:
     return ceil(ratio * total / 2 - 1e-9)
 
 
-def _occurrences(name: str) -> list[str]:
-    """Characters in the fixed order; the i-th copy of a character is its own element."""
-    seen: dict[str, int] = {}
-    out = []
-    for c in name:
-        seen[c] = seen.get(c, 0) + 1
-        out.append((_ORDER.get(c, -ord(c)), c, seen[c]))
-    return [f"{c}{n}" for _, c, n in sorted(out)]
+def _gram_size(ratio: float, largest: int = 3) -> int:
+    """Characters per gram: a lower ratio leaves no longer gram certain to be shared."""
+    return min(largest, 3 if ratio >= 0.84 else 2 if ratio >= 0.7 else 1)
+
+
+def _grams(name: str, size: int) -> list[str]:
+    padded = _PADS[0] * (size - 1) + name + _PADS[1] * (size - 1)
+    return [padded[i : i + size] for i in range(len(padded) - size + 1)]
+
+
+def _shared(total: int, ratio: float, size: int) -> int:
+    """Least number of matched grams of a passing pair with ``total`` characters."""
+    need = _needed(total, ratio)
+    return need + (size - 1) * (1 - total + 2 * need)
+
+
+def _bucket(gram: str) -> int:
+    return crc32(gram.encode("utf-8", "replace")) % GRAM_BUCKETS
+
+
+def gram_buckets(name: str, ratio: float) -> list[int]:
+    """Frequency bucket of each gram of a name."""
+    return [_bucket(gram) for gram in _grams(name, _gram_size(ratio))]
 
 
-def _set_size(spare: int, need: int) -> int:
-    """Characters per rare set: as many as keep the longer name within the budget."""
-    t = 1
-    while t < need and comb(spare + t + 1, t + 1) <= _SIGNATURES:
+@lru_cache(maxsize=None)
+def _grams_per_key(total: int, ratio: float, size: int) -> int:
+    shared = _shared(total, ratio, size)
+    longest = total - _needed(total, ratio)  # of a pair with this sum
+    spare = longest + size - 1 - shared
+    t = min(2, shared)
+    while t < shared and comb(spare + t + 1, t + 1) <= _KEYS:
         t += 1
     return t
 
 
-def name_signatures(name: str, ratio: float, is_left: bool, partners: frozenset[int] | None = None) -> list[str]:
+def name_signatures(
+    name: str, ratio: float, partners: frozenset[int] | None = None, frequency: Mapping[int, int] | None = None
+) -> list[str]:
     """Join keys of a name against every partner length that can reach ``ratio``.
 
     ``partners`` lists the lengths that occur on the other side, when known.
+    ``frequency`` counts the names' grams by bucket; any table gives right keys,
+    provided both sides use the same one, and the measured one gives few pairs.
     """
-    elements = _occurrences(name)
+    size, counts = _gram_size(ratio), frequency or {}
+    grams = _grams(name, size)
     own = len(name)
     share = ratio / (2 - ratio)  # shorter / longer of a passing pair
-    keys: set[str] = set()
+    shared: dict[int, int] = {}  # least number of shared grams by grams per key
     for other in range(max(1, ceil(own * share - 1e-9)), floor(own / share + 1e-9) + 1):
-        if partners is not None and other not in partners:
-            continue
-        la, lb = (own, other) if is_left else (other, own)
-        need = _needed(la + lb, ratio)
-        if need > min(la, lb):
+        total = own + other
+        if (partners is not None and other not in partners) or _needed(total, ratio) > min(own, other):
             continue
-        spare = max(la, lb) - need
-        if comb(max(la, lb), spare) <= _SUBSEQUENCES:
-            chosen = combinations(name, need)
-        else:
-            t = _set_size(spare, need)
-            chosen = combinations(elements[: own - need + t], t)
-        keys.update(f"{la}|{lb}|{'|'.join(part)}" for part in chosen)
+        t = _grams_per_key(total, ratio, size)
+        shared[t] = min(shared.get(t, total), _shared(total, ratio, size))
+    rare = sorted(range(len(grams)), key=lambda i: (counts.get(_bucket(grams[i]), 0), grams[i], i))
+    keys: set[str] = set()
+    for t, least in shared.items():
+        places = sorted(rare[: len(grams) - least + t])
+        keys.update(f"{t}|" + "|".join(part) for part in combinations([grams[i] for i in places], t))
     return sorted(keys)
 
 
+def enough_grams(left: str, right: str, ratio: float) -> bool:
+    """Whether two names have as many grams in common as ``ratio`` asks of names this long."""
+    size = _gram_size(ratio, 2)
+    common = Counter(_grams(left, size)) & Counter(_grams(right, size))
+    return common.total() >= _shared(len(left) + len(right), ratio, size)
+
+
+def gram_masks(name: str, ratio: float) -> list[int]:
+    """256 bits of hashed grams of at most two characters, as 64-bit numbers.
+
+    A bit in which two names differ stands for a gram without a partner.
+    """
+    bits = 0
+    for gram in _grams(name, _gram_size(ratio, 2)):
+        bits |= 1 << (_bucket(gram) % (64 * _MASK_WORDS))
+    words = [(bits >> (64 * i)) & ((1 << 64) - 1) for i in range(_MASK_WORDS)]
+    return [w - (1 << 64) if w >= 1 << 63 else w for w in words]
+
+
+def may_reach(left: str, right: str, left_masks: str, right_masks: str, ratio: float) -> Column:
+    """Whether lengths and masks of two name columns leave ``ratio`` possible; never false for a passing pair.
+
+    The mask columns hold ``[name_mask, *gram_masks]``.
+    """
+    total = F.length(left) + F.length(right)
+    need = F.ceil(total * (ratio / 2) - 1e-9)
+    size = _gram_size(ratio, 2)
+    shared = need + (size - 1) * (1 - total + 2 * need)
+    differing = [
+        F.bit_count(F.col(left_masks)[i].bitwiseXOR(F.col(right_masks)[i])) for i in range(1 + _MASK_WORDS)
+    ]
+    return (
+        (need <= F.least(F.length(left), F.length(right)))
+        & (differing[0] <= total - 2 * need)
+        & (reduce(Column.__add__, differing[1:]) <= total + 2 * (size - 1) - 2 * shared)
+    )
+
+
 def name_mask(name: str) -> int:
     """64 bits: for each of 32 character classes, whether it occurs at least once and at least twice.
 

@@ -7,12 +7,21 @@ a best score, the smallest ``coin_uid`` wins.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marketlake.functions import name_mask, name_signatures, normalise_name, similarity_ratio
+from marketlake.functions import (
+    gram_buckets,
+    gram_masks,
+    may_reach,
+    name_mask,
+    name_signatures,
+    normalise_name,
+    similarity_ratio,
+)
 from marketlake.operators.latest import latest_per_key
 from marketlake.operators.lookup import lookup
 from marketlake.session import checkpointed
@@ -78,33 +87,55 @@ def _lengths(names: DataFrame) -> frozenset[int]:
     return frozenset(row["n"] for row in rows)
 
 
-def _signed(names: DataFrame, ratio: float, is_left: bool, partners: frozenset[int]) -> DataFrame:
-    """(name, mask, 64-bit key) rows; a hash collision only adds a candidate."""
+def _gram_frequency(left: DataFrame, right: DataFrame, ratio: float) -> dict[int, int]:
+    """How many grams of all names fall into each bucket: at most ``GRAM_BUCKETS`` numbers."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter[int] = Counter()  # bounded by the number of buckets
+        for batch in batches:
+            for name in batch["norm_name"]:
+                seen.update(gram_buckets(name, ratio))
+        yield pd.DataFrame({"bucket": list(seen), "n": list(seen.values())}, dtype="int64")
+
+    names = left.select("norm_name").unionByName(right.select("norm_name"))
+    counted = names.mapInPandas(count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return {row["bucket"]: row["n"] for row in counted.collect()}
+
+
+def _signed(names: DataFrame, ratio: float, partners: frozenset[int], frequency: dict[int, int]) -> DataFrame:
+    """(name, masks, 64-bit key) rows; a hash collision only adds a candidate."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            signed = batch[["norm_name"]].assign(
-                mask=batch["norm_name"].map(name_mask),
-                key=batch["norm_name"].map(lambda name: name_signatures(name, ratio, is_left, partners)),
+            yield batch[["norm_name"]].assign(
+                masks=batch["norm_name"].map(lambda name: [name_mask(name), *gram_masks(name, ratio)]),
+                keys=batch["norm_name"].map(lambda name: name_signatures(name, ratio, partners, frequency)),
             )
-            yield signed.explode("key").dropna().astype({"key": "string"})
 
     # names are small but their keys are many: size the tasks by the keys, not by the bytes read
     tasks = max(names.sparkSession.sparkContext.defaultParallelism, names.count() // _NAMES_PER_TASK)
     spread = names.select("norm_name").repartition(tasks)
-    signed = spread.mapInPandas(sign, "norm_name string, mask bigint, key string")
-    return signed.select("norm_name", "mask", F.xxhash64("key").alias("key"))
+    signed = spread.mapInPandas(sign, "norm_name string, masks array<bigint>, keys array<string>")
+    return signed.select("norm_name", "masks", F.explode("keys").alias("key")).withColumn("key", F.xxhash64("key"))
+
+
+def candidate_pairs(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
+    """Distinct (asset_name, coin_name) that may reach ``ratio``: all that do, and few others.
+
+    Both frames have a column ``norm_name`` without nulls and empty names, and
+    must give the same rows each time they are read.
+    """
+    left_lengths, right_lengths = _lengths(left), _lengths(right)
+    frequency = _gram_frequency(left, right, ratio)
+    a = _signed(left, ratio, right_lengths, frequency).toDF("asset_name", "asset_masks", "key")
+    b = _signed(right, ratio, left_lengths, frequency).toDF("coin_name", "coin_masks", "key")
+    possible = may_reach("asset_name", "coin_name", "asset_masks", "coin_masks", ratio)
+    return a.join(b, "key").where(possible).select("asset_name", "coin_name").distinct()
 
 
 def _tier(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
     """Best right name per left name among pairs at or above ``ratio``."""
-    left_lengths, right_lengths = _lengths(left), _lengths(right)
-    a = _signed(left, ratio, True, right_lengths).toDF("asset_name", "asset_mask", "key")
-    b = _signed(right, ratio, False, left_lengths).toDF("coin_name", "coin_mask", "key")
-    # characters without a partner: at least the differing mask bits, at most T - 2M
-    unmatched = F.bit_count(F.col("asset_mask").bitwiseXOR(F.col("coin_mask")))
-    allowed = (F.length("asset_name") + F.length("coin_name")) * (1 - ratio) + 1e-9
-    pairs = a.join(b, "key").where(unmatched <= allowed).select("asset_name", "coin_name").distinct()
+    pairs = candidate_pairs(left, right, ratio)
     scored = pairs.withColumn("score", similarity_ratio(ratio)("asset_name", "coin_name")).where("score is not null")
     owned = scored.join(right.withColumnRenamed("norm_name", "coin_name"), "coin_name")
     best = F.min(F.struct((-F.col("score")).alias("neg"), "coin_uid"))

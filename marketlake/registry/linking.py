@@ -136,3 +136,33 @@ def _fuzzy_rejected(t: Tables) -> DataFrame:
         F.lit(None).cast("string").alias("coinmarketcap_id"),
     )
     return link.map_assets(assets, coins, F.lit(MAPPED))
+
+
+# Names of 40 to 64 characters with four of them replaced by a letter that no other name has.  The pieces in between
+# are 12 characters long and more, so no other coin comes near.
+@register(
+    "fuzzy_match_long",
+    f"""SELECT c_custkey AS asset_id, 'none' AS symbol, 'a' || c_custkey AS coin_uid, 'fuzzy_name' AS match_type,
+        round((36.0 + c_nationkey) / (40 + c_nationkey), 6) AS match_score, TIMESTAMP '{MAPPED}' AS mapped_at FROM customer""",
+)
+def _fuzzy_long(t: Tables) -> DataFrame:
+    key = F.concat(F.md5("c_name"), F.md5(F.reverse("c_name")))
+    named = t.customer.withColumn("long_name", F.substring(key, F.lit(1), F.col("c_nationkey") + 40))
+    marked = F.col("long_name")
+    for place in (1, 13, 26, 39):
+        marked = F.overlay(marked, F.lit("x"), place)
+    assets = named.select(
+        F.col("c_custkey").alias("asset_id"),
+        F.lit("none").alias("symbol"),
+        marked.alias("name"),
+        F.lit(None).cast("string").alias("cg_id"),
+        F.lit("").alias("cmc_id"),
+    )
+    coins = named.select(
+        F.concat(F.lit("a"), F.col("c_custkey")).alias("coin_uid"),
+        F.lit("").alias("ticker"),
+        F.col("long_name").alias("name"),
+        F.lit(None).cast("string").alias("coingecko_id"),
+        F.lit(None).cast("string").alias("coinmarketcap_id"),
+    )
+    return link.map_assets(assets, coins, F.lit(MAPPED)).withColumn("match_score", F.round("match_score", 6))

@@ -5,7 +5,7 @@ from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
-from marketlake.functions import name_mask, name_signatures
+from marketlake.functions import enough_grams, gram_buckets, name_mask, name_signatures
 from marketlake.operators import link
 from marketlake.operators.link import fuzzy_matches
 
@@ -60,17 +60,47 @@ def check_against_brute(spark, rows, names, coins, floor=0.85, tiers=link.TIERS)
 def test_signatures_never_lose_a_passing_pair():
     rng = random.Random(5)
     passing = 0
-    for alphabet, low, high in (("ab", 1, 9), ("abcdefgh", 1, 24), ("abcdefghijklmnop0123", 5, 60)):
-        for a in random_names(rng, 300, alphabet, low, high):
+    for alphabet, low, high in (("ab", 1, 9), ("abcdefgh", 1, 24), ("abcdefghijklmnop0123", 5, 60), ("abcdet", 60, 90)):
+        for a in random_names(rng, 200, alphabet, low, high):
             b = mutate(rng, a, alphabet)
-            for floor in (0.85, 0.94):
+            frequency = {i: rng.randrange(9) for i in set(gram_buckets(a, 0.85) + gram_buckets(b, 0.5))}
+            for floor in (0.5, 0.75, 0.85, 0.94):
                 if b and SequenceMatcher(None, a, b).ratio() >= floor:
                     passing += 1
-                    left, right = name_signatures(a, floor, True), name_signatures(b, floor, False)
+                    left, right = (name_signatures(n, floor, frequency=frequency) for n in (a, b))
                     assert set(left) & set(right), (a, b, floor)
                     differing = bin((name_mask(a) ^ name_mask(b)) & (2**64 - 1)).count("1")
+                    assert enough_grams(a, b, floor)
                     assert differing <= (len(a) + len(b)) * (1 - floor) + 1e-9, (a, b, floor)
-    assert passing > 600
+    assert passing > 1500
+
+
+def test_unrelated_names_are_hardly_compared(spark, rows):
+    """Share of unrelated pairs whose ratio is computed at all, by length."""
+    rng = random.Random(3)
+    words = random_names(rng, 300, "etaoinshrdlucmfw", 3, 9)
+
+    def of_words(length):
+        return "".join(rng.choice(words) for _ in range(length))[:length]
+
+    def of_hex(length):
+        return "".join(rng.choice("0123456789abcdef") for _ in range(length))
+
+    for make in (of_words, of_hex):
+        for length, most in ((20, 0.05), (40, 0.05), (60, 0.15), (100, 0.4)):
+            sides = [spark.createDataFrame([(make(length),) for _ in range(150)], "norm_name string") for _ in "ab"]
+            found = link.candidate_pairs(*sides, link.MIN_RATIO).collect()
+            pairs = sum(enough_grams(a, b, link.MIN_RATIO) for a, b in found)
+            assert pairs <= most * 150 * 150, (make.__name__, length, pairs)
+
+
+def test_long_names_equal_brute_force(spark, rows):
+    rng = random.Random(17)
+    alphabet = "abcdefghilmnoprstu"
+    base = random_names(rng, 40, alphabet, 20, 200)
+    coins = [(f"u{i:03d}", n) for i, n in enumerate(base)]
+    names = [mutate(rng, n, alphabet) for n in base] + [mutate(rng, n[: len(n) * 9 // 10], alphabet) for n in base]
+    assert len(check_against_brute(spark, rows, names, coins)) > 40
 
 
 def test_fuzzy_equals_brute_force(spark, rows):
