@@ -42,8 +42,11 @@ def drop_repeated_boundaries(pages: Sequence[DataFrame], keys: Sequence[str]) ->
     Within a page the largest of the other columns, in column order, settles ties.
     """
     names = pages[0].columns
-    numbered = concat([page.withColumn("_page", F.lit(i)) for i, page in enumerate(pages)])
-    return latest_per_key(numbered, keys, ["_page", *[c for c in names if c not in keys]]).select(*names)
+    place = "_page"
+    while place in names:
+        place += "_"
+    numbered = concat([page.withColumn(place, F.lit(i)) for i, page in enumerate(pages)])
+    return latest_per_key(numbered, keys, [place, *[c for c in names if c not in keys]]).select(*names)
 
 
 def concat(frames: Sequence[DataFrame]) -> DataFrame:

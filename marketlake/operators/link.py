@@ -8,7 +8,7 @@ a best score, the smallest ``coin_uid`` wins.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -59,21 +59,42 @@ def _lookup(df: DataFrame, key: Column, coins: DataFrame, coin_key: Column, name
 
 
 def exact_matches(assets: DataFrame, coins: DataFrame) -> DataFrame:
-    """All assets with ``norm_name`` and the first exact hit as (coin_uid, match_type), else nulls."""
+    """All assets with ``norm_name`` and the first exact hit as (coin_uid, match_type), else nulls.
+
+    Both sides become rows of (step, key) and meet in one join; the first step
+    with a hit is an aggregate.  Repeated asset rows come back as often as given.
+    """
     norm = F.nullif(normalise_name("name"), F.lit(""))
-    steps = [
-        ("coingecko_id", _filled(F.col("cg_id")), _filled(F.col("coingecko_id"))),
-        ("coinmarketcap_id", _filled(F.col("cmc_id")), _filled(F.col("coinmarketcap_id"))),
-        ("symbol", _filled(F.col("symbol")), _filled(F.col("ticker"))),
-        ("name", F.col("norm_name"), F.col("norm_name")),
-    ]
-    out = assets.withColumn("norm_name", norm)
-    master = coins.withColumn("norm_name", norm)
-    for step, key, coin_key in steps:
-        out = _lookup(out, key, master, coin_key, f"uid_{step}")
-    hits = [F.col(f"uid_{step}") for step, _, _ in steps]
-    kind = F.coalesce(*[F.when(hit.isNotNull(), F.lit(step)) for hit, (step, _, _) in zip(hits, steps)])
-    return out.select(*assets.columns, "norm_name", F.coalesce(*hits).alias("coin_uid"), kind.alias("match_type"))
+    own_keys = dict(zip(EXACT_STEPS, ("cg_id", "cmc_id", "symbol", "norm_name")))
+    coin_keys = dict(zip(EXACT_STEPS, ("coingecko_id", "coinmarketcap_id", "ticker", "norm_name")))
+    last = len(EXACT_STEPS)  # a row without a key, which every asset has
+
+    def by_step(df: DataFrame, keys: dict[str, str], more: Sequence[Column] = ()) -> DataFrame:
+        found = [F.struct(F.lit(i).alias("step_"), _filled(F.col(keys[s])).alias("key_")) for i, s in enumerate(EXACT_STEPS)]
+        return df.withColumn("norm_name", norm).select("*", F.inline(F.array(*found, *more)))
+
+    known = (
+        by_step(coins, coin_keys)
+        .where("key_ is not null")
+        .groupBy("step_", "key_")
+        .agg(F.min("coin_uid").alias("uid_"))
+    )
+    base = F.struct(F.lit(last).alias("step_"), F.lit(None).cast("string").alias("key_"))
+    own = by_step(assets, own_keys, [base]).where((F.col("key_").isNotNull()) | (F.col("step_") == last))
+    first = F.min(F.when(F.col("uid_").isNotNull(), F.struct("step_", "uid_")))
+    columns = [*assets.columns, "norm_name"]
+    matched = (
+        lookup(own, known, ["step_", "key_"])
+        .groupBy(*columns)
+        .agg(first.alias("first_"), F.count_if(F.col("step_") == last).alias("copies_"))
+    )
+    kind = F.get(F.array(*[F.lit(s) for s in EXACT_STEPS]), F.col("first_.step_"))
+    return matched.select(
+        *columns,
+        F.col("first_.uid_").alias("coin_uid"),
+        kind.alias("match_type"),
+        F.explode(F.array_repeat(F.lit(1), F.col("copies_").cast("int"))).alias("copy_"),
+    ).drop("copy_")
 
 
 # --- fuzzy step ------------------------------------------------------------

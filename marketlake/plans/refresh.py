@@ -7,18 +7,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from marketlake import schemas as S
 from marketlake.operators import flatten
 from marketlake.plans.store import Store
-from marketlake.sources import landed_payloads, parse_payload, payload_entries, payload_records
+from marketlake.sources import landed_payloads, parse_payload, payload_entries, payload_records, staged
 
 
-def refresh_assets(spark: SparkSession, path: str, store: Store, run_ts: Column) -> None:
-    """One pass over the landed asset pages per table; market data is appended, the rest upserted."""
-    pages = parse_payload(landed_payloads(spark, path), S.ASSET_PAGE)
-    for table, rows in flatten.asset_tables(payload_records(pages, "body.Data.LIST"), run_ts).items():
-        store.upsert(rows, table)
+def refresh_assets(spark: SparkSession, path: str, store: Store, run_ts: Column, per_file: bool = True) -> None:
+    """All eight tables of the landed asset pages, parsed once; market data is appended, the rest upserted."""
+    pages = parse_payload(landed_payloads(spark, path, per_file), S.ASSET_PAGE)
+    with staged(payload_records(pages, "body.Data.LIST"), "assets") as records:
+        for table, rows in flatten.asset_tables(records, run_ts).items():
+            store.upsert(rows, table)
 
 
-def refresh_exchanges(spark: SparkSession, path: str, store: Store, run_ts: Column, kind: str) -> None:
-    """Exchanges and instruments of a landed spot or futures tree."""
+def refresh_exchanges(
+    spark: SparkSession, path: str, store: Store, run_ts: Column, kind: str, per_file: bool = True
+) -> None:
+    """Exchanges and instruments of a landed spot or futures tree, parsed once."""
     plans = {
         "spot": (S.SPOT_TREE, flatten.spot_exchange_rows, flatten.spot_instrument_rows),
         "futures": (S.FUTURES_TREE, flatten.futures_exchange_rows, flatten.futures_instrument_rows),
@@ -28,20 +31,22 @@ def refresh_exchanges(spark: SparkSession, path: str, store: Store, run_ts: Colu
         "futures": ("exchanges_futures_details", "instruments_futures"),
     }
     schema, exchange_rows, instrument_rows = plans[kind]
-    entries = payload_entries(parse_payload(landed_payloads(spark, path), schema))
-    store.upsert(exchange_rows(entries, run_ts), tables[kind][0])
-    store.upsert(instrument_rows(entries, run_ts), tables[kind][1])
+    with staged(payload_entries(parse_payload(landed_payloads(spark, path, per_file), schema)), kind) as entries:
+        store.upsert(exchange_rows(entries, run_ts), tables[kind][0])
+        store.upsert(instrument_rows(entries, run_ts), tables[kind][1])
 
 
-def refresh_gradings(spark: SparkSession, path: str, store: Store, run_ts: Column) -> None:
-    entries = payload_entries(parse_payload(landed_payloads(spark, path), S.EXCHANGE_GENERAL))
+def refresh_gradings(spark: SparkSession, path: str, store: Store, run_ts: Column, per_file: bool = True) -> None:
+    """Graded venues of the landed payloads."""
+    entries = payload_entries(parse_payload(landed_payloads(spark, path, per_file), S.EXCHANGE_GENERAL))
     store.upsert(flatten.exchange_general_rows(entries, run_ts), "exchanges_general")
 
 
 def record_usage(
-    spark: SparkSession, path: str, store: Store, use_case: str, timing: str, run_ts: Column
+    spark: SparkSession, path: str, store: Store, use_case: str, timing: str, run_ts: Column, per_file: bool = True
 ) -> None:
-    payloads = parse_payload(landed_payloads(spark, path), S.RATE_LIMIT)
+    """Append the landed usage limits, taken before or after a job."""
+    payloads = parse_payload(landed_payloads(spark, path, per_file), S.RATE_LIMIT)
     store.append(flatten.rate_limit_rows(payloads, use_case, timing, run_ts), "rate_limit_status")
 
 

@@ -10,6 +10,7 @@ from marketlake.registry import (  # noqa: F401
     maintenance,
     payloads,
     planning,
+    refreshes,
     selection,
     series,
     streams,

@@ -76,6 +76,12 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job made for itself."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint in the shared folder."""
     shared = shared_root(df.sparkSession)

@@ -6,6 +6,7 @@ from marketlake.sources.payloads import (
     parse_payload,
     payload_entries,
     payload_records,
+    staged,
 )
 from marketlake.sources.messages import message_stream, parse_messages
 from marketlake.sources.tables import (

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from marketlake.session import remove_folder, shared_path
+
 
-def landed_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed file: its text as ``payload`` and where it came from."""
+def landed_payloads(spark: SparkSession, path: str, per_file: bool = True) -> DataFrame:
+    """Landed envelopes as ``payload`` and where they came from: one per file, or else one per line."""
     return (
-        spark.read.text(path, wholetext=True)
+        spark.read.text(path, wholetext=per_file)
         .select(F.col("value").alias("payload"), F.col("_metadata.file_path").alias("source_file"))
     )
 
@@ -27,6 +32,21 @@ def parse_payload(df: DataFrame, schema: str, column: str = "payload") -> DataFr
     return parsed.where(usable)
 
 
+@contextmanager
+def staged(parsed: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Write typed records once to the shared folder and give them back, for as many tables as are made of them.
+
+    The text is parsed once; each table then reads only the fields it needs.
+    The folder goes when the block ends.
+    """
+    spark, path = parsed.sparkSession, shared_path(parsed.sparkSession, f"staged-{label}")
+    try:
+        parsed.write.parquet(path)
+        yield spark.read.schema(parsed.schema).parquet(path)
+    finally:
+        remove_folder(spark, path)
+
+
 def payload_records(df: DataFrame, field: str = "body.Data", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per record of an array-valued payload, as column ``d``."""
     return df.select(*keep, F.explode(field).alias("d"))

@@ -1,6 +1,7 @@
 """Landed payload files to stored tables, on small hand-written payloads."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from marketlake import schemas as S
 from marketlake.operators import flatten
 from marketlake.plans import refresh
 from marketlake.plans.store import Store
+from marketlake.session import remove_folder
 from marketlake.sources import is_complete, landed_payloads, parse_messages, parse_payload, payload_entries, payload_records
 
 RUN = "2024-05-01 00:00:00"
@@ -215,3 +217,30 @@ def test_body_is_parsed_once(spark, landed):
     rows_ = flatten.asset_rows(payload_records(parse_payload(landed_payloads(spark, path), S.ASSET_PAGE), "body.Data.LIST"), run_ts())
     plan = rows_._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_a_refresh_parses_once(spark, landed, tmp_path, monkeypatch):
+    """Tables are made of staged records: no plan of theirs parses text, and the staged folder is gone afterwards."""
+    plans, store = [], Store(str(tmp_path / "store"))
+    upsert = Store.upsert
+
+    def noted(self, rows, table):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        upsert(self, rows, table)
+
+    monkeypatch.setattr(Store, "upsert", noted)
+    removed = []
+    monkeypatch.setattr("marketlake.sources.payloads.remove_folder", lambda s, path: removed.append(path))
+    refresh.refresh_assets(spark, landed(page(asset(1, NAME="a"))), store, run_ts())
+    assert len(plans) == 8 and not any("from_json" in p or "JsonToStructs" in p for p in plans)
+    assert len(removed) == 1 and spark.read.parquet(removed[0]).count() == 1
+    monkeypatch.undo()
+    remove_folder(spark, removed[0])
+    assert not Path(removed[0].removeprefix("file:")).exists()
+
+
+def test_payloads_one_per_line(spark, landed, tmp_path):
+    path = landed("\n".join(json.dumps(page(asset(i, NAME=f"n{i}"))) for i in range(3)))
+    store = Store(str(tmp_path / "store"))
+    refresh.refresh_assets(spark, path, store, run_ts(), per_file=False)
+    assert {r["name"] for r in store.read(spark, "assets").collect()} == {"n0", "n1", "n2"}

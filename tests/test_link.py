@@ -169,6 +169,17 @@ def test_cascade_order_and_duplicates(spark, rows):
     }
 
 
+def test_cascade_is_one_join_and_keeps_repeated_rows(spark, rows):
+    assets = rows([(1, "BTC", "x", None, "9"), (1, "BTC", "x", None, "9"), (2, None, None, None, None), (2, None, None, None, None)], ASSETS)
+    coins = rows([("c1", "BTC", "y", None, None), ("c0", "", "X", "", ""), ("c9", None, None, "9", None)], COINS)
+    matched = link.exact_matches(assets, coins)
+    got = sorted((r["asset_id"], r["coin_uid"], r["match_type"]) for r in matched.collect())
+    assert got == [(1, "c1", "symbol")] * 2 + [(2, None, None)] * 2
+    assert matched._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert link.exact_matches(assets.limit(0), coins).count() == 0
+    assert link.exact_matches(assets, coins.limit(0)).where("coin_uid is null").count() == 4
+
+
 def test_assets_with_ids_latest_wins(spark, rows):
     ts = "2024-01-0{}"
     assets = rows([(1, "A", "a", ts.format(1)), (2, "B", "b", ts.format(1))], "asset_id bigint, symbol string, name string, updated_at string")
