@@ -273,6 +273,16 @@ def _last_n(t: Tables) -> DataFrame:
     return rounded(last_n_points(bars, KEYS, "datetime", 30, F.lit("2024-01-25 12:00:00").cast("timestamp_ntz")))
 
 
+@register(
+    "last_n_trades",
+    f"""WITH {TRADES_SQL}, r AS (SELECT *, row_number() OVER (ORDER BY ts DESC, seq DESC) AS rn FROM trades)
+    SELECT 'all' AS venue, * EXCLUDE (rn) FROM r WHERE rn <= 6000""",
+)
+def _last_n_trades(t: Tables) -> DataFrame:
+    """One key holds all rows, and more are wanted than a window is limited to before its shuffle."""
+    return last_n_points(trades(t).select(F.lit("all").alias("venue"), "*"), ["venue"], "ts", 6000, ties=["seq"])
+
+
 @register(
     "column_groups",
     f"WITH {candles_cte('day')} SELECT market, instrument, datetime, open, high, low, close FROM candles",

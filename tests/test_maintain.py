@@ -26,6 +26,24 @@ def test_hot_key_is_limited_before_the_shuffle(spark):
     assert df.count() == hot.select("k").distinct().count()
 
 
+def test_last_n_points_of_a_hot_key(spark):
+    """100,000 of the 300,000 rows of one key: whole keys are ranked nowhere, and old days leave before the shuffle."""
+    df = spark.range(301_000).select(
+        F.when(F.col("id") < 300_000, "hot").when(F.col("id") < 300_500, F.lit(None)).otherwise("cold").alias("rank"),
+        F.when(F.col("id") % 1000 != 1, F.timestamp_seconds(F.col("id") * 60)).alias("ts"),
+        F.col("id").alias("room"),
+    )
+    got = last_n_points(df, ["rank"], "ts", 100_000, ties=["room"])
+    counts = {r["rank"]: (r["n"], r["low"]) for r in got.groupBy("rank").agg(F.count("*").alias("n"), F.min("ts").alias("low")).collect()}
+    # one row in a thousand has no time and counts as oldest
+    low = df.where("rank = 'hot' and ts is not null").orderBy(F.col("ts").desc()).limit(100_000).agg(F.min("ts")).first()[0]
+    assert counts == {"hot": (100_000, low), None: (500, counts[None][1]), "cold": (500, counts["cold"][1])}
+    assert got.columns == df.columns and got.select("room").distinct().count() == 101_000
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    ranking = next(line for line in plan.splitlines() if "row_number()" in line and "Window" in line)
+    assert "block" in ranking.split("windowspecdefinition(")[1].split("ts")[0]
+
+
 def test_last_n_points_upto(rows):
     df = rows([("a", i) for i in range(10)], "k string, ts int")
     got = last_n_points(df, ["k"], "ts", 3, F.lit(7)).orderBy("ts").collect()
