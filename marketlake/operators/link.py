@@ -151,7 +151,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame, ratio: float) -> DataFram
     a = _signed(left, ratio, right_lengths, frequency).toDF("asset_name", "asset_masks", "key")
     b = _signed(right, ratio, left_lengths, frequency).toDF("coin_name", "coin_masks", "key")
     possible = may_reach("asset_name", "coin_name", "asset_masks", "coin_masks", ratio)
-    return a.join(b, "key").where(possible).select("asset_name", "coin_name").distinct()
+    # a side is far larger in memory than its compressed shuffle lets on: sorted, it can spill, and hot keys are split
+    return a.join(b.hint("merge"), "key").where(possible).select("asset_name", "coin_name").distinct()
 
 
 def _tier(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
