@@ -197,6 +197,28 @@ def test_metric_ranks_match_window_rank(spark):
     assert got.orderBy("id").collect() == want.orderBy("id").collect()
     assert ranking.metric_ranks(df.where("false"), ["x"]).count() == 0
     assert ranking.metric_ranks(df.where("x is null"), ["x"]).select("x_rank").distinct().collect()[0][0] == 1
+    # types side by side, beyond what a double can tell apart
+    exact = df.select(
+        "id",
+        "x",
+        (F.lit(2**60) - F.col("id") % 40).alias("big"),
+        F.col("id").cast("string").alias("text"),
+        (F.col("id") % 7).cast("decimal(30,10)").alias("amount"),
+    )
+    metrics = ["x", "big", "text", "amount"]
+    want = exact
+    for m in metrics:
+        want = want.withColumn(f"{m}_rank", F.rank().over(Window.orderBy(F.col(m).desc_nulls_last())).cast("bigint"))
+    got = ranking.metric_ranks(exact, metrics)
+    assert got.orderBy("id").collect() == want.orderBy("id").collect()
+
+
+def test_positions_use_no_window_over_rows(spark, capsys):
+    df = spark.range(3000).select("id", (F.col("id") % 500).alias("x"), (F.col("id") % 77).alias("y"))
+    ranking.metric_ranks(df, ["x", "y"]).explain()
+    plan = capsys.readouterr().out
+    above_window = [line for line in plan.splitlines() if "Window" in line]
+    assert above_window and all("range_" in line or "in_range_" in line for line in above_window)
 
 
 def test_pages(spark):
@@ -205,4 +227,17 @@ def test_pages(spark):
     assert [(r["position"], r["id"]) for r in got.orderBy("position").collect()] == [(5, 20), (6, 25), (7, 30), (8, 35)]
     with pytest.raises(ValueError):
         ranking.ranked_page(df, "v", ["id"], page_size=0)
+    # every page against the whole list: nulls, repeated rows, a hot value, both directions
+    mixed = spark.range(60).select(
+        F.when(F.col("id") % 4 == 0, 1.5).when(F.col("id") % 9 == 0, None).otherwise(F.col("id") % 6 / 1.0).alias("v"),
+        F.when(F.col("id") % 13 != 0, (F.col("id") % 10).cast("string")).alias("t"),
+        F.timestamp_seconds(F.col("id") % 17).cast("timestamp_ntz").alias("at"),
+    )
+    for descending in (True, False):
+        by = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last()
+        whole = [tuple(r) for r in mixed.orderBy(by, "t", "at").collect()]
+        for page in (1, 2, 5, 9, 10):
+            got = ranking.ranked_page(mixed, "v", ["t", "at"], page, 7, descending).orderBy("position").collect()
+            assert [tuple(r)[:3] for r in got] == whole[(page - 1) * 7 : page * 7]
+            assert [r["position"] for r in got] == list(range(page * 7 - 6, min(page * 7, 60) + 1))
     assert ranking.first_n(df, ["id"], None).count() == 50
