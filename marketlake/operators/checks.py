@@ -12,6 +12,15 @@ def series_bounds(df: DataFrame, ts: str = "datetime") -> DataFrame:
     return df.agg(F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"), F.count(F.lit(1)).alias("rows"))
 
 
+def newest_record(df: DataFrame, ts: str, ties: Sequence[str] = ()) -> DataFrame:
+    """The newest record of a batch (one row; none for a batch without records), ties to the largest ``ties``.
+
+    Records without a time count as oldest.  An aggregate: each task sends one row.
+    """
+    newest = F.max_by(F.struct(*[F.col(c) for c in df.columns]), F.struct(F.col(ts), *[F.col(c) for c in ties]))
+    return df.agg(newest.alias("newest")).where("newest is not null").select("newest.*")
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)

@@ -98,16 +98,21 @@ def trading_pairs(
     return eligible.join(known, "base_asset_id").select(*PAIR)
 
 
-def pairs_of(instruments: DataFrame, assets: DataFrame, top: DataFrame, exchanges: DataFrame) -> DataFrame:
+def pairs_of(
+    instruments: DataFrame, assets: DataFrame, top: DataFrame, exchanges: DataFrame, collation: str | None = None
+) -> DataFrame:
     """As :func:`trading_pairs`, with the lists given as tables (symbol, internal_name).
 
     Both restrictions are semi joins; Spark broadcasts either list only when
     its size allows.
     """
+    venue, symbol = compared("exchange_internal_name", collation), compared("base_asset_symbol", collation)
+    venues = exchanges.select(compared("internal_name", collation).alias("venue_"))
+    symbols = top.select(compared("symbol", collation).alias("symbol_"))
     eligible = (
-        instruments.where(F.col("instrument_status_on_exchange") == ACTIVE)
-        .join(exchanges.select(F.col("internal_name").alias("exchange_internal_name")), "exchange_internal_name", "left_semi")
-        .join(top.select(F.col("symbol").alias("base_asset_symbol")), "base_asset_symbol", "left_semi")
+        instruments.where(compared("instrument_status_on_exchange", collation) == F.lit(ACTIVE))
+        .join(venues, venue == F.col("venue_"), "left_semi")
+        .join(symbols, symbol == F.col("symbol_"), "left_semi")
     )
     known = assets.select(F.col("asset_id").alias("base_asset_id"))
     return eligible.join(known, "base_asset_id").select(*PAIR)

@@ -16,11 +16,12 @@ def top_pairs(
     asset_limit: int = 50,
     exchange_limit: int | None = None,
     pair_limit: int | None = None,
+    collation: str | None = None,
 ) -> DataFrame:
-    """Active pairs whose base is a top asset, on exchanges graded BB or better."""
+    """Active pairs whose base is a top asset, on exchanges graded BB or better; names compare under ``collation``."""
     top = top_assets(assets, snapshots, asset_limit).select("symbol")
-    venues = first_n(qualified_exchanges(exchanges), ["internal_name"], exchange_limit)
-    return first_n(pairs_of(instruments, assets, top, venues), list(PAIR), pair_limit)
+    venues = first_n(qualified_exchanges(exchanges, collation), ["internal_name"], exchange_limit)
+    return first_n(pairs_of(instruments, assets, top, venues, collation), list(PAIR), pair_limit)
 
 
 def index_instruments(top: DataFrame, market: str, quote: str = "USD") -> DataFrame:

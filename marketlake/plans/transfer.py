@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from marketlake.operators import checks, maintain
 from marketlake.operators.fetchplan import assign_chunks
+from marketlake.plans.store import Store
+from marketlake.schemas import TABLES
 
 SERIES_ORDER = ("datetime", "market", "mapped_instrument")
 
@@ -85,6 +87,27 @@ def transfer(
     """
     export_series(source, export_path, chunk_days, order, lo, hi)
     loaded = import_series(spark, export_path, source.columns)
-    loaded.withColumn("date", F.to_date(F.date_trunc(partition_unit, F.col(order[0])))).write.mode("append").partitionBy("date").parquet(target_path)
-    target = spark.read.parquet(target_path).select(*source.columns)
+    dated = loaded.withColumn("date", F.to_date(F.date_trunc(partition_unit, F.col(order[0]))))
+    maintain.append(dated, target_path, ["date"])
+    target = maintain.read_table(spark, target_path).select(*source.columns)
     return transfer_report(source, target, chunk_days, order[0], lo, hi)
+
+
+def transfer_stored(
+    spark: SparkSession,
+    store: Store,
+    table: str,
+    export_path: str,
+    target_path: str,
+    start: Column,
+    end: Column,
+    chunk_days: int = 30,
+) -> DataFrame:
+    """:func:`transfer` of the part of a stored series from ``start`` to ``end`` (inclusive).
+
+    Only the folders of that range are opened, for the export and for the report.
+    """
+    spec = TABLES[table]
+    source = store.read(spark, table, start, end)
+    order = [spec.partition_source, *[k for k in spec.key if k != spec.partition_source]]
+    return transfer(spark, source, export_path, target_path, chunk_days, order, start, end, spec.partition_unit)

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketlake.operators import checks, fetchplan, maintain
 from marketlake.operators.latest import concat, drop_repeated_boundaries, latest_per_key
-from marketlake.plans.transfer import export_series, import_series, transfer
+from marketlake.plans.transfer import export_series, import_series, transfer, transfer_stored
+from marketlake.plans.store import Store
 from marketlake.registry.base import Tables, register, rounded
 from marketlake.session import shared_path
+from marketlake.schemas import TABLES
 from marketlake.sources import conform_records, read_csv, read_json_records, read_parquet
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
@@ -84,6 +86,11 @@ def _bounds(t: Tables) -> DataFrame:
     return checks.series_bounds(t.events, "ts")
 
 
+@register("newest_record", "SELECT * FROM events ORDER BY ts DESC NULLS LAST, event_id DESC LIMIT 1")
+def _newest_record(t: Tables) -> DataFrame:
+    return checks.newest_record(t.events, "ts", ["event_id"])
+
+
 @register(
     "reconcile",
     f"""WITH d AS ({LINE_LATEST_SQL}),
@@ -355,3 +362,36 @@ def _transfer(t: Tables) -> DataFrame:
     order = ["o_orderdate", "o_custkey", "o_orderkey"]
     export, target = shared_path(t.spark, "transfer"), shared_path(t.spark, "transfer-target")
     return transfer(t.spark, t.orders, export, target, 30, order, partition_unit="YEAR")
+
+
+@register(
+    "transfer_range",
+    """WITH s AS (
+      SELECT DISTINCT 'm' || (user_id % 5) AS market, event_type AS mapped_instrument, date_trunc('day', ts) AS day
+      FROM events WHERE ts IS NOT NULL),
+    b AS (SELECT date_trunc('day', min(ts)) + INTERVAL 3 DAY AS lo, date_trunc('day', min(ts)) + INTERVAL 20 DAY AS hi FROM events),
+    c AS (
+      SELECT CAST(date_diff('day', lo, day) // 7 AS BIGINT) AS chunk, lo, hi FROM s, b WHERE day >= lo AND day <= hi),
+    n AS (
+      SELECT chunk, any_value(lo) + to_days(CAST(7 * chunk AS INTEGER)) AS chunk_start,
+             least(any_value(lo) + to_days(CAST(7 * (chunk + 1) AS INTEGER)), any_value(hi) + INTERVAL 1 SECOND) AS chunk_end,
+             CAST(count(*) AS BIGINT) AS source_rows
+      FROM c GROUP BY chunk)
+    SELECT *, source_rows AS target_rows, CAST(0 AS BIGINT) AS missing_rows, true AS matches,
+           CAST(sum(source_rows) OVER (ORDER BY chunk) AS BIGINT) AS running_rows FROM n""",
+)
+def _transfer_range(t: Tables) -> DataFrame:
+    """A stored daily series, of which only the folders of a range are read and transferred."""
+    spec = TABLES["futures_ohlcv_1d"]
+    bars = t.events.where("ts is not null").select(
+        F.concat(F.lit("m"), F.col("user_id") % 5).alias("market"),
+        F.col("event_type").alias("mapped_instrument"),
+        F.date_trunc("DAY", "ts").cast("timestamp_ntz").alias("datetime"),
+    ).distinct()
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields if f.name not in bars.columns]
+    store = Store(shared_path(t.spark, "store"))
+    store.upsert(bars.select("*", *empty), "futures_ohlcv_1d")
+    first = t.events.agg(F.date_trunc("DAY", F.min("ts")).cast("timestamp_ntz").alias("first")).first()["first"]
+    lo, hi = (F.lit(str(first)).cast("timestamp_ntz") + F.expr(f"INTERVAL {d} DAYS") for d in (3, 20))
+    export, target = shared_path(t.spark, "transfer"), shared_path(t.spark, "transfer-target")
+    return transfer_stored(t.spark, store, "futures_ohlcv_1d", export, target, lo, hi, chunk_days=7)

@@ -395,6 +395,22 @@ for _kind in S.CANDLE_PAYLOADS:
         return rows.withColumns({c: F.round(c, 4) for c in doubles})
 
 
+@register(
+    "request_columns",
+    """SELECT 'A' || l_suppkey AS asset, CASE l_linenumber % 2 WHEN 0 THEN 'EUR' ELSE 'USD' END AS quote,
+       to_timestamp(l_orderkey) AT TIME ZONE 'UTC' AS datetime, round(l_extendedprice, 4) AS close FROM lineitem""",
+)
+def _request_columns(t: Tables) -> DataFrame:
+    """Index candles whose instrument name says nothing: asset and quote come from the request."""
+    candle = "'UNIT', 'DAY', 'TIMESTAMP', l_orderkey, 'INSTRUMENT', concat('X', l_linenumber), 'CLOSE', l_extendedprice"
+    sql = f"to_json(named_struct('Data', array(named_struct({candle}))))"
+    requested = t.lineitem.selectExpr("l_suppkey", "l_linenumber", f"{sql} as payload")
+    parsed = requested.withColumn("d", F.from_json("payload", S.candle_envelope("index_ohlcv"))["Data"][0])
+    quote = F.when(F.col("l_linenumber") % 2 == 0, "EUR").otherwise("USD")
+    rows = flatten.candle_rows(parsed, "index_ohlcv", run_ts(), F.concat(F.lit("A"), F.col("l_suppkey")), quote)
+    return rows.select("asset", "quote", "datetime", F.round("close", 4).alias("close"))
+
+
 @register(
     "json_fields",
     """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS absent FROM events""",

@@ -99,8 +99,8 @@ WHERE o_orderstatus = 'O' AND a.c_name IN (SELECT c_name FROM top) AND n_regionk
 """
 
 
-@register("top_pairs", TOP_PAIRS_SQL)
-def _top_pairs(t: Tables) -> DataFrame:
+def _pair_tables(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Snapshots, exchanges and instruments."""
     venues = t.nation.select(
         F.col("n_name").alias("internal_name"),
         _choice(F.col("n_regionkey"), (0, "AA"), (1, "B"), (2, "BBB"), (3, "C"), default="D").alias("grade"),
@@ -119,7 +119,33 @@ def _top_pairs(t: Tables) -> DataFrame:
     snapshots = _snapshots(t).groupBy("asset_id").agg(
         F.max(F.struct("snapshot_ts", VOLUME, "snapshot_id")).alias("s")
     ).select("asset_id", "s.snapshot_ts", f"s.{VOLUME}")
-    return top_pairs(_assets(t), snapshots, venues, instruments, asset_limit=200)
+    return snapshots, venues, instruments
+
+
+@register("top_pairs", TOP_PAIRS_SQL)
+def _top_pairs(t: Tables) -> DataFrame:
+    return top_pairs(_assets(t), *_pair_tables(t), asset_limit=200)
+
+
+@register(
+    "top_pairs_ci",
+    TOP_PAIRS_SQL.replace("SELECT n_name AS", "SELECT CASE WHEN c_nationkey % 2 = 0 THEN lower(n_name) ELSE n_name END AS").replace(
+        "a.c_name AS base_asset_symbol", "upper(a.c_name) AS base_asset_symbol"
+    ),
+)
+def _top_pairs_ci(t: Tables) -> DataFrame:
+    """Instruments spell exchanges, symbols and status in other cases than the lists."""
+    snapshots, venues, instruments = _pair_tables(t)
+    lower_case = venues.withColumn("grade", F.lower("grade"))
+    even = t.nation.where("n_nationkey % 2 = 0").select(F.col("n_name").alias("exchange_internal_name"), F.lit(True).alias("even"))
+    spelled = instruments.join(even, "exchange_internal_name", "left").withColumns(
+        {
+            "exchange_internal_name": F.when(F.col("even"), F.lower("exchange_internal_name")).otherwise(F.col("exchange_internal_name")),
+            "base_asset_symbol": F.upper("base_asset_symbol"),
+            "instrument_status_on_exchange": F.lower("instrument_status_on_exchange"),
+        }
+    )
+    return top_pairs(_assets(t), snapshots, lower_case, spelled, asset_limit=200, collation="UTF8_LCASE")
 
 
 @register(
@@ -224,6 +250,21 @@ def _ranked_page(t: Tables) -> DataFrame:
     return page.select("c_custkey", "c_name", "c_acctbal", "position")
 
 
+@register(
+    "ranked_page_deep",
+    """SELECT l_orderkey, l_linenumber, l_quantity, position FROM (
+         SELECT *, row_number() OVER (ORDER BY nullif(l_quantity, 7), l_shipdate NULLS FIRST, l_orderkey, l_linenumber, l_extendedprice) AS position
+         FROM lineitem)
+       WHERE position BETWEEN 30 * 500 + 1 AND 31 * 500""",
+)
+def _ranked_page_deep(t: Tables) -> DataFrame:
+    """A page far down a list by a value that many rows share."""
+    lines = t.lineitem.withColumn("quantity", F.nullif("l_quantity", F.lit(7)))
+    ties = ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"]
+    page = ranking.ranked_page(lines, "quantity", ties, page=31, page_size=500, descending=False)
+    return page.select("l_orderkey", "l_linenumber", "l_quantity", F.col("position").cast("bigint").alias("position"))
+
+
 @register("first_n", "SELECT s_suppkey, s_name FROM supplier ORDER BY s_name, s_suppkey LIMIT 25")
 def _first_n(t: Tables) -> DataFrame:
     return ranking.first_n(t.supplier.select("s_suppkey", "s_name"), ["s_name", "s_suppkey"], 25)

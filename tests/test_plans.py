@@ -193,3 +193,22 @@ def test_marks_spare_the_series(spark, rows, tmp_path):
 def test_marks_of_a_series_stored_before(spark, rows, tmp_path):
     store = Store(str(tmp_path))
     assert store.marks(spark, "futures_ohlcv_1d").count() == 0
+
+
+def test_transfer_of_a_stored_range_opens_its_folders_only(spark, funding, tmp_path, capsys):
+    store = Store(str(tmp_path / "store"))
+    table = "futures_funding_rate_ohlc_1h"
+    store.upsert(funding, table)
+    start, end = F.lit("2024-01-10").cast("timestamp_ntz"), F.lit("2024-01-12").cast("timestamp_ntz")
+    report = transfer.transfer_stored(spark, store, table, str(tmp_path / "out"), str(tmp_path / "new"), start, end, 30)
+    assert [(r["source_rows"], r["missing_rows"]) for r in report.collect()] == [(2 * 49, 0)]
+    report.explain("formatted")
+    assert "PartitionFilters: [isnotnull(date" in capsys.readouterr().out
+
+
+def test_newest_record(rows):
+    from marketlake.operators import checks
+
+    batch = rows([(1, 5, None), (2, 7, "a"), (3, 7, "b"), (4, None, "z")], "id int, ts bigint, note string")
+    assert [tuple(r) for r in checks.newest_record(batch, "ts", ["note"]).collect()] == [(3, 7, "b")]
+    assert checks.newest_record(batch.where("false"), "ts").collect() == []
