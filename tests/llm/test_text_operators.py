@@ -214,28 +214,101 @@ def test_licenses(spark):
     assert licenses.scan_licenses(files.limit(0)).collect() == []
 
 
+def test_license_siblings(spark):
+    """One-line files: unlisted siblings, denials and unversioned names name no license."""
+    expected = {
+        "GNU Lesser General Public License, version 3": "LGPL-3.0",
+        "GNU Affero General Public License, version 3": "AGPL-3.0",
+        "Licensed under CC BY-SA 4.0": "CC-BY-SA-4.0",
+        "Licensed under CC BY-ND 4.0": "CC-BY-ND-4.0",
+        "Licensed under CC BY 4.0": "CC-BY-4.0",
+        "GNU General Public License version 2": "GPL-2.0",
+        "GNU General Public License v3.0": "GPL-3.0",
+        "// SPDX-License-Identifier: BSD-2-Clause": "BSD-2-Clause",
+        "SPDX-License-Identifier: GPL-3.0-or-later": "GPL-3.0",
+        "SPDX-License-Identifier: LGPL-2.1-only": "LGPL-2.1",
+        "Apache License, Version 1.1": None,
+        "GNU General Public License": None,
+        "This file is not released under the MIT License": None,
+        "Licensed under MIT or the Apache License, Version 2.0": None,
+        "Redistribution and use in source and binary forms, with or without modification, are permitted": None,
+        "   you can redistribute it and/or modify\n it under the terms of the GNU General Public License as published by\n"
+        " the Free Software Foundation, either version 2 of the License, or": "GPL-2.0",
+        "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007": "GPL-3.0",
+        "I like the MIT License more than most of my friends do": None,
+    }
+    files = spark.createDataFrame(list(enumerate(expected)), "file int, text string")
+    got = {r.file: r.own_license for r in licenses.own_licenses(files).collect()}
+    assert {text: got.get(i) for i, text in enumerate(expected)} == expected
+
+
+def test_license_texts(spark):
+    """Whole license files and leading comments; BSD texts differ by one clause."""
+    two = licenses.TEMPLATES["BSD-2-Clause"][-1]
+    three = licenses.TEMPLATES["BSD-3-Clause"][-1]
+    mit = licenses.TEMPLATES["MIT"][-1]
+    wrap = lambda text, lead="": "\n".join(lead + text[i : i + 70] for i in range(0, len(text), 70))
+    rows = [
+        (1, "a/LICENSE", "Copyright (c) 2020, Some Body\n\n" + wrap(two)), (2, "b/LICENSE", wrap(three)),
+        (3, "c/COPYING", "Copyright 2021 X\n" + wrap(mit)), (4, "d/x.py", wrap(three, "# ") + "\nimport os\nprint(1)"),
+        (5, "d/y.py", "import os\n" + "x = 1\n" * 500 + "# the license of this is unknown"),
+    ]
+    files = spark.createDataFrame(rows, "file int, path string, text string")
+    got = {r.file: r.own_license for r in licenses.scan_licenses(files).collect()}
+    assert got == {1: "BSD-2-Clause", 2: "BSD-3-Clause", 3: "MIT", 4: "BSD-3-Clause", 5: None}
+
+
+def test_every_statement_names_its_license(spark):
+    import re
+
+    assert len(licenses.TEMPLATES) >= 25
+    shared = {"Redistribution and use"}
+    rows = [(f"{name}/{k}", x) for name, xs in licenses.TEMPLATES.items() for k, x in enumerate(xs)]
+    assert all(re.search(licenses.NAMING, x) for _, x in rows)
+    files = spark.createDataFrame(rows, "file string, text string")
+    got = {r.file: r.own_license for r in licenses.own_licenses(files).collect()}
+    wrong = {f: got.get(f) for f, x in rows if got.get(f) != f.split("/")[0] and not any(x.startswith(s) for s in shared)}
+    assert wrong == {}
+
+
 def test_license_cosine_matches_brute_force(spark):
     import math
 
-    texts = ["Licensed under the Apache License, Version 2.0.", "the MIT license text", "apache version notes", "nothing"]
+    texts = [
+        "Licensed under the Apache License, Version 2.0.", "the MIT license text", "Mozilla Public License 2.0 applies",
+        "Creative Commons Attribution-ShareAlike 4.0 license", "nothing", "the mit licence of 2020, and the LGPL v2.1",
+    ]
     files = spark.createDataFrame(list(enumerate(texts)), "file int, text string")
-    got = {r.file: r.cosine for r in licenses.own_licenses(files, floor=0.01).collect()}
-    known = {w for s in licenses.TEMPLATES.values() for x in s for w in licenses._words(x)}
-    docs = [licenses._words(t) for t in texts]
-    df = {w: sum(w in d for d in docs) for w in known}
-    idf = lambda w: math.log((1 + len(texts)) / (1 + df.get(w, 0))) + 1
+    got = {r.file: (r.own_license, r.cosine) for r in licenses.own_licenses(files, floor=0.05).collect()}
+    idf, unseen = licenses.template_idf(), math.log(1 + len(licenses.TEMPLATES)) + 1
 
     def vector(words):
-        return {w: words.count(w) * idf(w) for w in words}
+        return {w: words.count(w) * idf.get(w, unseen) for w in words}
 
     def cosine(a, b):
         norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
         return sum(a[w] * b.get(w, 0) for w in a) / norm(a) / norm(b)
 
-    statements = [vector(licenses._words(x)) for s in licenses.TEMPLATES.values() for x in s]
-    for i in got:
-        assert got[i] == pytest.approx(max(cosine(vector(docs[i]), s) for s in statements), abs=1e-6)
-    assert set(got) == {0, 1, 2}
+    want = {}
+    for i, text in enumerate(texts):
+        words, best = licenses._words(text), {}
+        for name, statements in licenses.TEMPLATES.items():
+            own = {w for x in statements for w in licenses._words(x)}
+            if any(w in licenses.MARKERS and w not in own for w in words):
+                continue
+            for x in map(licenses._words, statements):
+                if all(w in words for w in x if w in licenses.MARKERS or w[0].isdigit()):
+                    best[name] = max(best.get(name, 0), cosine(vector(words), vector(x)))
+        top = sorted(((c, n) for n, c in best.items()), reverse=True)
+        if re_named(text) and top and top[0][0] >= 0.05 and (len(top) == 1 or top[0][0] - top[1][0] > 0.01):
+            want[i] = (top[0][1], pytest.approx(top[0][0], abs=1e-6))
+    assert got == want and {0, 1, 2, 3} <= set(got) and 4 not in got
+
+
+def re_named(text):
+    import re
+
+    return re.search(licenses.NAMING, text)
 
 
 def test_digest_is_of_utf8(docs_of):
