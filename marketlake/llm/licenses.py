@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from marketlake.llm.common import whole_text
+from marketlake.llm.common import saved, whole_text
 
 
 def _gnu(name: str, short: str, version: str, day: str) -> list[str]:
@@ -156,7 +156,7 @@ MARKERS = (
 # A passage without one of these names no license; what comes before a name to deny it.
 NAMING = (
     r"(?i)licen[sc]|spdx|gpl|creative commons|\bcc[ -]by|\bcc0|redistribut|permission|public domain|"
-    r"\b(?:bsd|eupl|wtfpl|zlib|mit)\b"
+    r"\b(?:eupl|wtfpl)\b"
 )
 DENIAL = (
     r"(?i)\b(?:not|never|no longer|nor|neither|isn't|aren't|wasn't|instead of|rather than|unlike|formerly|previously)\b"
@@ -285,7 +285,8 @@ def own_licenses(
     passages = _passages(files, key, F.lit(False) if speaks is None else speaks)
     # terms of a passage with their counts; a passage is one row until here
     terms = passages.select(*place, F.explode(_terms_of(F.col("content"))).alias("term"))
-    counted = terms.groupBy(*place, "term").agg(F.count("*").alias("n"))
+    # written once: lengths and products both read it, and the texts are searched once
+    counted = saved(terms.groupBy(*place, "term").agg(F.count("*").alias("n")), "license-terms")
     weighted = counted.join(F.broadcast(idf), "term", "left").select(
         *place, "term", (F.col("n") * F.coalesce("idf", F.lit(unseen))).alias("weight"), F.col("idf").isNotNull().alias("known")
     )
