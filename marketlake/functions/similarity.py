@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping, Sequence
 from difflib import SequenceMatcher
 from functools import lru_cache, reduce
 from itertools import combinations
-from math import ceil, comb, floor
+from math import ceil, comb, floor, prod
 import sys
 from zlib import crc32
 
@@ -61,16 +61,22 @@ def similarity_ratio(floor: float = 0.0):
 #
 # are matched as well, in the same order in both names.
 #
-# Order the grams of a name from rare to frequent, equal ones by place.  The t
-# first matched pairs lie within the first |grams| - shared(T) + t grams of both
-# names.  A join key is t of those grams, in the order of the name; every passing
-# pair has one in common.  t follows from T alone: as many grams as keep the keys
-# of a name within a budget, two at least.
+# Grams that the other side lacks have no partner.  Order the rest of a name's
+# grams from rare to frequent, equal ones by place.  The t first matched pairs
+# lie within the first |rest| - shared(T) + t of both names.  A join key is t of
+# those grams, in the order of the name; every passing pair has one in common.
+#
+# T alone says which grams: as many short ones as keep the keys of a name within
+# a budget, two at least; or, where long names would need too many pairs of them,
+# one of the longest that is certain to be shared.  Names of which few enough
+# characters can be left out have what remains as their keys instead: need(T)
+# matched characters are a common subsequence.
 
 _KEYS = 100  # most keys per name and sum of lengths, unless two grams need more
 _PADS = ("\x02", "\x03")
 GRAM_BUCKETS = 1 << 16  # frequencies are counted by hash: a bounded table however many grams there are
-_MASK_WORDS = 4
+_MASK_WORDS = 2
+_LONGEST_GRAM = 8
 
 
 def _needed(total: int, ratio: float) -> int:
@@ -84,7 +90,11 @@ def _gram_size(ratio: float, largest: int = 3) -> int:
 
 def _grams(name: str, size: int) -> list[str]:
     padded = _PADS[0] * (size - 1) + name + _PADS[1] * (size - 1)
-    return [padded[i : i + size] for i in range(len(padded) - size + 1)]
+    return _grams_within(padded, size)
+
+
+def _grams_within(text: str, size: int) -> list[str]:
+    return [text[i : i + size] for i in range(len(text) - size + 1)]
 
 
 def _shared(total: int, ratio: float, size: int) -> int:
@@ -93,6 +103,7 @@ def _shared(total: int, ratio: float, size: int) -> int:
     return need + (size - 1) * (1 - total + 2 * need)
 
 
+@lru_cache(maxsize=GRAM_BUCKETS)
 def _bucket(gram: str) -> int:
     return crc32(gram.encode("utf-8", "replace")) % GRAM_BUCKETS
 
@@ -103,41 +114,81 @@ def gram_buckets(name: str, ratio: float) -> list[int]:
 
 
 @lru_cache(maxsize=None)
-def _grams_per_key(total: int, ratio: float, size: int) -> int:
+def _gram_key(total: int, ratio: float) -> tuple[int, int]:
+    """(characters per gram, grams per key) for the pairs with ``total`` characters."""
+    size, need = _gram_size(ratio), _needed(total, ratio)
     shared = _shared(total, ratio, size)
-    longest = total - _needed(total, ratio)  # of a pair with this sum
-    spare = longest + size - 1 - shared
+    spare = total - need + size - 1 - shared
     t = min(2, shared)
     while t < shared and comb(spare + t + 1, t + 1) <= _KEYS:
         t += 1
-    return t
+    longest = size
+    while longest < _LONGEST_GRAM and _shared(total, ratio, longest + 1) >= 1:
+        longest += 1
+    over = t >= 2 and comb(spare + t, t) > _KEYS
+    return (longest, 1) if longest > size and (over or longest >= size * t + 2) else (size, t)
+
+
+@lru_cache(maxsize=1024)
+def _key_rules(
+    own: int, ratio: float, partners: frozenset[int] | None
+) -> tuple[tuple[int, int, int | None, int, int], ...]:
+    """For each length that can reach ``ratio``: (grams and long grams that are shared, characters kept, size, t)."""
+    size = _gram_size(ratio)
+    share = ratio / (2 - ratio)  # shorter / longer of a passing pair
+    rules = set()
+    for other in range(max(1, ceil(own * share - 1e-9)), floor(own / share + 1e-9) + 1):
+        total = own + other
+        need = _needed(total, ratio)
+        if (partners is not None and other not in partners) or need > min(own, other):
+            continue
+        few = comb(own, own - need) + comb(other, other - need) <= 2 * _KEYS
+        long, t = _gram_key(total, ratio)
+        rules.add((_shared(total, ratio, size), _shared(total, ratio, long), need if few else None, long, t))
+    return tuple(sorted(rules, key=str))
 
 
 def name_signatures(
-    name: str, ratio: float, partners: frozenset[int] | None = None, frequency: Mapping[int, int] | None = None
+    name: str,
+    ratio: float,
+    partners: frozenset[int] | None = None,
+    frequency: Mapping[int, int] | None = None,
+    present: Collection[int] | None = None,
 ) -> list[str]:
     """Join keys of a name against every partner length that can reach ``ratio``.
 
-    ``partners`` lists the lengths that occur on the other side, when known.
-    ``frequency`` counts the names' grams by bucket; any table gives right keys,
-    provided both sides use the same one, and the measured one gives few pairs.
+    ``partners`` lists the lengths that occur on the other side and ``present``
+    the buckets of its grams, when known.  ``frequency`` counts the names' grams
+    by bucket; any table gives right keys, provided both sides use the same one,
+    and the measured one gives few pairs.
     """
     size, counts = _gram_size(ratio), frequency or {}
-    grams = _grams(name, size)
-    own = len(name)
-    share = ratio / (2 - ratio)  # shorter / longer of a passing pair
-    shared: dict[int, int] = {}  # least number of shared grams by grams per key
-    for other in range(max(1, ceil(own * share - 1e-9)), floor(own / share + 1e-9) + 1):
-        total = own + other
-        if (partners is not None and other not in partners) or _needed(total, ratio) > min(own, other):
-            continue
-        t = _grams_per_key(total, ratio, size)
-        shared[t] = min(shared.get(t, total), _shared(total, ratio, size))
-    rare = sorted(range(len(grams)), key=lambda i: (counts.get(_bucket(grams[i]), 0), grams[i], i))
+    buckets = gram_buckets(name, ratio)
+    known = len(buckets) if present is None else sum(b in present for b in buckets)
     keys: set[str] = set()
-    for t, least in shared.items():
-        places = sorted(rare[: len(grams) - least + t])
-        keys.update(f"{t}|" + "|".join(part) for part in combinations([grams[i] for i in places], t))
+    least_by: dict[tuple[int, int], int] = {}  # least number of shared grams by kind of key
+    for shared, shared_long, kept, long, t in _key_rules(len(name), ratio, partners):
+        if known < shared:
+            continue
+        if kept is not None:
+            keys.update(f"{kept}-" + "".join(part) for part in combinations(name, kept))
+        else:
+            least_by[long, t] = min(least_by.get((long, t), shared_long), shared_long)
+    for (long, t), least in least_by.items():
+        grams = _grams(name, long)
+        # what a longer gram has of the shorter ones; more padding is no gram
+        pads = [None] * (long - size)
+        parts = [*pads, *buckets, *pads]
+        lacking = {i for i, b in enumerate(parts) if b is not None and present is not None and b not in present}
+        weights = [max(1, counts.get(b, 0)) for b in parts]
+        span = long - size + 1
+        usable = [i for i in range(len(grams)) if lacking.isdisjoint(range(i, i + span))]
+        if len(usable) < least:
+            continue
+        rarity = [prod(weights[i : i + span : size]) for i in range(len(grams))]
+        rare = sorted(usable, key=lambda i: (rarity[i], grams[i], i))
+        places = sorted(rare[: len(usable) - least + t])
+        keys.update(f"{long},{t}|" + "|".join(part) for part in combinations([grams[i] for i in places], t))
     return sorted(keys)
 
 
@@ -149,7 +200,7 @@ def enough_grams(left: str, right: str, ratio: float) -> bool:
 
 
 def gram_masks(name: str, ratio: float) -> list[int]:
-    """256 bits of hashed grams of at most two characters, as 64-bit numbers.
+    """128 bits of hashed grams of at most two characters, as 64-bit numbers.
 
     A bit in which two names differ stands for a gram without a partner.
     """
@@ -160,22 +211,17 @@ def gram_masks(name: str, ratio: float) -> list[int]:
     return [w - (1 << 64) if w >= 1 << 63 else w for w in words]
 
 
-def may_reach(left: str, right: str, left_masks: str, right_masks: str, ratio: float) -> Column:
-    """Whether lengths and masks of two name columns leave ``ratio`` possible; never false for a passing pair.
-
-    The mask columns hold ``[name_mask, *gram_masks]``.
-    """
-    total = F.length(left) + F.length(right)
+def may_reach(
+    left: Column, right: Column, left_masks: Sequence[str], right_masks: Sequence[str], ratio: float
+) -> Column:
+    """Whether two name lengths and :func:`gram_masks` leave ``ratio`` possible; never false for a passing pair."""
+    total = left + right
     need = F.ceil(total * (ratio / 2) - 1e-9)
     size = _gram_size(ratio, 2)
     shared = need + (size - 1) * (1 - total + 2 * need)
-    differing = [
-        F.bit_count(F.col(left_masks)[i].bitwiseXOR(F.col(right_masks)[i])) for i in range(1 + _MASK_WORDS)
-    ]
-    return (
-        (need <= F.least(F.length(left), F.length(right)))
-        & (differing[0] <= total - 2 * need)
-        & (reduce(Column.__add__, differing[1:]) <= total + 2 * (size - 1) - 2 * shared)
+    differing = [F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(left_masks, right_masks, strict=True)]
+    return (need <= F.least(left, right)) & (
+        reduce(Column.__add__, differing) <= total + 2 * (size - 1) - 2 * shared
     )
 
 

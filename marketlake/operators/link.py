@@ -17,7 +17,6 @@ from marketlake.functions import (
     gram_buckets,
     gram_masks,
     may_reach,
-    name_mask,
     name_signatures,
     normalise_name,
     similarity_ratio,
@@ -108,8 +107,8 @@ def _lengths(names: DataFrame) -> frozenset[int]:
     return frozenset(row["n"] for row in rows)
 
 
-def _gram_frequency(left: DataFrame, right: DataFrame, ratio: float) -> dict[int, int]:
-    """How many grams of all names fall into each bucket: at most ``GRAM_BUCKETS`` numbers."""
+def _gram_frequency(names: DataFrame, ratio: float) -> dict[int, int]:
+    """How many grams of the names fall into each bucket: at most ``GRAM_BUCKETS`` numbers."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter[int] = Counter()  # bounded by the number of buckets
@@ -118,26 +117,37 @@ def _gram_frequency(left: DataFrame, right: DataFrame, ratio: float) -> dict[int
                 seen.update(gram_buckets(name, ratio))
         yield pd.DataFrame({"bucket": list(seen), "n": list(seen.values())}, dtype="int64")
 
-    names = left.select("norm_name").unionByName(right.select("norm_name"))
-    counted = names.mapInPandas(count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counted = names.select("norm_name").mapInPandas(count, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
     return {row["bucket"]: row["n"] for row in counted.collect()}
 
 
-def _signed(names: DataFrame, ratio: float, partners: frozenset[int], frequency: dict[int, int]) -> DataFrame:
-    """(name, masks, 64-bit key) rows; a hash collision only adds a candidate."""
+_MASKS = ("mask_0", "mask_1")
+
+
+def _signed(
+    names: DataFrame, ratio: float, partners: frozenset[int], frequency: dict[int, int], present: frozenset[int], prefix: str
+) -> DataFrame:
+    """(id, length, masks, 64-bit key) rows: numbers only, as a name has many keys; a hash collision only adds a candidate."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch[["norm_name"]].assign(
-                masks=batch["norm_name"].map(lambda name: [name_mask(name), *gram_masks(name, ratio)]),
-                keys=batch["norm_name"].map(lambda name: name_signatures(name, ratio, partners, frequency)),
-            )
+            keys = batch["norm_name"].map(lambda name: name_signatures(name, ratio, partners, frequency, present))
+            found = keys.map(len) > 0
+            some = batch.loc[found, ["norm_name"]]
+            masks = [gram_masks(name, ratio) for name in some["norm_name"]]
+            yield some.assign(keys=keys[found], **{m: [words[i] for words in masks] for i, m in enumerate(_MASKS)})
 
     # names are small but their keys are many: size the tasks by the keys, not by the bytes read
     tasks = max(names.sparkSession.sparkContext.defaultParallelism, names.count() // _NAMES_PER_TASK)
     spread = names.select("norm_name").repartition(tasks)
-    signed = spread.mapInPandas(sign, "norm_name string, masks array<bigint>, keys array<string>")
-    return signed.select("norm_name", "masks", F.explode("keys").alias("key")).withColumn("key", F.xxhash64("key"))
+    signed = spread.mapInPandas(sign, "norm_name string, keys array<string>, mask_0 bigint, mask_1 bigint")
+    return signed.select(_id().alias("id"), F.length("norm_name").alias("n"), *_MASKS, F.explode("keys").alias("key")).select(
+        F.xxhash64("key").alias("key"), *[F.col(c).alias(f"{prefix}_{c}") for c in ("id", "n", *_MASKS)]
+    )
+
+
+def _id() -> Column:
+    return F.xxhash64("norm_name")
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
@@ -147,12 +157,19 @@ def candidate_pairs(left: DataFrame, right: DataFrame, ratio: float) -> DataFram
     must give the same rows each time they are read.
     """
     left_lengths, right_lengths = _lengths(left), _lengths(right)
-    frequency = _gram_frequency(left, right, ratio)
-    a = _signed(left, ratio, right_lengths, frequency).toDF("asset_name", "asset_masks", "key")
-    b = _signed(right, ratio, left_lengths, frequency).toDF("coin_name", "coin_masks", "key")
-    possible = may_reach("asset_name", "coin_name", "asset_masks", "coin_masks", ratio)
+    of_left, of_right = _gram_frequency(left, ratio), _gram_frequency(right, ratio)
+    frequency = dict(Counter(of_left) + Counter(of_right))
+    a = _signed(left, ratio, right_lengths, frequency, frozenset(of_right), "asset")
+    b = _signed(right, ratio, left_lengths, frequency, frozenset(of_left), "coin")
+    masks = [[f"{side}_{m}" for m in _MASKS] for side in ("asset", "coin")]
+    possible = may_reach(F.col("asset_n"), F.col("coin_n"), *masks, ratio)
     # a side is far larger in memory than its compressed shuffle lets on: sorted, it can spill, and hot keys are split
-    return a.join(b.hint("merge"), "key").where(possible).select("asset_name", "coin_name").distinct()
+    ids = a.join(b.hint("merge"), "key").where(possible).select("asset_id", "coin_id").distinct()
+    named = [
+        names.select(_id().alias(f"{side}_id"), F.col("norm_name").alias(f"{side}_name")).distinct()
+        for names, side in ((left, "asset"), (right, "coin"))
+    ]
+    return ids.join(named[0], "asset_id").join(named[1], "coin_id").select("asset_name", "coin_name")
 
 
 def _tier(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
