@@ -77,6 +77,21 @@ def to_utc_ntz(c: Column | str, zone: str | None = None) -> Column:
     return c.cast(NTZ)
 
 
+def _pattern_marks(c: Column) -> tuple[Column, ...]:
+    """For each of ``DATETIME_PATTERNS``, whether text has its marks: at most one does, and none that fits is left out.
+
+    A failed attempt costs far more than a good one.
+    """
+    dashed, timed, dotted = c.contains("-"), c.contains(":"), c.contains(".")
+    zulu = c.endswith("Z") | c.endswith("z")  # patterns ignore case
+    return (
+        dashed & timed & zulu & dotted,
+        dashed & timed & zulu & ~dotted,
+        dashed & timed & ~zulu & ~dotted,
+        dashed & ~timed,
+    )
+
+
 def parse_datetime(c: Column | str, on_error: str = "raise") -> Column:
     """Parse text in any accepted form, a timestamp, or epoch seconds (numbers or text) to whole seconds.
 
@@ -87,7 +102,7 @@ def parse_datetime(c: Column | str, on_error: str = "raise") -> Column:
     if on_error not in ("raise", "null"):
         raise ValueError("on_error must be 'raise' or 'null'")
     c = _col(c).cast("string")  # numbers and timestamps take the same forms
-    attempts = [F.try_to_timestamp(c, F.lit(p)) for p in DATETIME_PATTERNS]
+    attempts = [F.when(m, F.try_to_timestamp(c, F.lit(p))) for m, p in zip(_pattern_marks(c), DATETIME_PATTERNS, strict=True)]
     shaped = (F.length(c) >= 19) & (F.substring(c, 5, 1) == "-") & (F.substring(c, 14, 1) == ":")
     attempts.append(F.when(shaped, F.try_to_timestamp(F.substring(c, 1, 19))))
     number = F.when(c.rlike(_NUMBER), c.try_cast("double"))
@@ -96,7 +111,7 @@ def parse_datetime(c: Column | str, on_error: str = "raise") -> Column:
     if on_error == "null":
         return parsed
     failure = F.raise_error(F.concat(F.lit("Cannot convert to datetime: "), c)).cast(NTZ)
-    return F.when(c.isNotNull() & parsed.isNull(), failure).otherwise(parsed)
+    return F.coalesce(parsed, F.when(c.isNotNull(), failure))
 
 
 def period_start(c: Column | str, unit: str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from moments import at
 from marketlake import functions as fn
+from marketlake.functions import time
 
 
 def one(spark, *columns):
@@ -114,3 +115,26 @@ def test_parse_datetime_epochs(spark):
     ]
     for value, expected in cases:
         assert one(spark, fn.parse_datetime(value))[0].isoformat() == expected
+
+
+@pytest.mark.parametrize(
+    "text, tried",
+    [
+        ("2024-01-05T01:02:03.5Z", 0),
+        ("2024-1-5t1:2:3.123456z", 0),
+        ("2024-01-05T01:02:03Z", 1),
+        ("2024-01-05 01:02:03", 2),
+        ("2024-1-5", 3),
+        ("2024-01-05 01:02:03.123456", None),
+        ("1700000000", None),
+        ("1700000000.75", None),
+        ("no date", None),
+    ],
+)
+def test_text_is_tried_on_its_own_pattern_only(spark, text, tried):
+    plan = spark.range(1).select(F.concat(F.lit(text), F.lit("")).alias("c"))
+    marks = plan.select(*[m.alias(f"m{i}") for i, m in enumerate(time._pattern_marks(F.col("c")))]).first()
+    assert [i for i, m in enumerate(marks) if m] == ([] if tried is None else [tried])
+    # no pattern that fits is left out
+    direct = [plan.select(F.try_to_timestamp("c", F.lit(p))).first()[0] is not None for p in time.DATETIME_PATTERNS]
+    assert all(mark or not fits for mark, fits in zip(marks, direct))
