@@ -26,6 +26,7 @@ from marketlake.functions.similarity import (
     enough_grams,
     gram_buckets,
     gram_masks,
+    grams_are_even,
     may_reach,
     name_mask,
     name_signatures,

@@ -67,8 +67,9 @@ def similarity_ratio(floor: float = 0.0):
 # those grams, in the order of the name; every passing pair has one in common.
 #
 # T alone says which grams: as many short ones as keep the keys of a name within
-# a budget, two at least; or, where long names would need too many pairs of them,
-# one of the longest that is certain to be shared.  Names of which few enough
+# a budget, two at least; or one of the longest that is certain to be shared,
+# where long names would need too many pairs of short ones, or where no gram is
+# frequent enough to be a key of very many names.  Names of which few enough
 # characters can be left out have what remains as their keys instead: need(T)
 # matched characters are a common subsequence.
 
@@ -77,6 +78,7 @@ _PADS = ("\x02", "\x03")
 GRAM_BUCKETS = 1 << 16  # frequencies are counted by hash: a bounded table however many grams there are
 _MASK_WORDS = 2
 _LONGEST_GRAM = 8
+_EVEN = 0.001  # two grams are equal less often than this
 
 
 def _needed(total: int, ratio: float) -> int:
@@ -113,8 +115,14 @@ def gram_buckets(name: str, ratio: float) -> list[int]:
     return [_bucket(gram) for gram in _grams(name, _gram_size(ratio))]
 
 
+def grams_are_even(frequency: Mapping[int, int]) -> bool:
+    """Whether two grams of a table are hardly ever equal: names are no families of near copies."""
+    total = sum(frequency.values())
+    return sum(n * n for n in frequency.values()) < _EVEN * total * total
+
+
 @lru_cache(maxsize=None)
-def _gram_key(total: int, ratio: float) -> tuple[int, int]:
+def _gram_key(total: int, ratio: float, even: bool) -> tuple[int, int]:
     """(characters per gram, grams per key) for the pairs with ``total`` characters."""
     size, need = _gram_size(ratio), _needed(total, ratio)
     shared = _shared(total, ratio, size)
@@ -126,12 +134,12 @@ def _gram_key(total: int, ratio: float) -> tuple[int, int]:
     while longest < _LONGEST_GRAM and _shared(total, ratio, longest + 1) >= 1:
         longest += 1
     over = t >= 2 and comb(spare + t, t) > _KEYS
-    return (longest, 1) if longest > size and (over or longest >= size * t + 2) else (size, t)
+    return (longest, 1) if longest > size and (over or even and longest >= size * t + 2) else (size, t)
 
 
 @lru_cache(maxsize=1024)
 def _key_rules(
-    own: int, ratio: float, partners: frozenset[int] | None
+    own: int, ratio: float, partners: frozenset[int] | None, even: bool
 ) -> tuple[tuple[int, int, int | None, int, int], ...]:
     """For each length that can reach ``ratio``: (grams and long grams that are shared, characters kept, size, t)."""
     size = _gram_size(ratio)
@@ -143,7 +151,7 @@ def _key_rules(
         if (partners is not None and other not in partners) or need > min(own, other):
             continue
         few = comb(own, own - need) + comb(other, other - need) <= 2 * _KEYS
-        long, t = _gram_key(total, ratio)
+        long, t = _gram_key(total, ratio, even)
         rules.add((_shared(total, ratio, size), _shared(total, ratio, long), need if few else None, long, t))
     return tuple(sorted(rules, key=str))
 
@@ -154,20 +162,22 @@ def name_signatures(
     partners: frozenset[int] | None = None,
     frequency: Mapping[int, int] | None = None,
     present: Collection[int] | None = None,
+    even: bool = False,
 ) -> list[str]:
     """Join keys of a name against every partner length that can reach ``ratio``.
 
     ``partners`` lists the lengths that occur on the other side and ``present``
     the buckets of its grams, when known.  ``frequency`` counts the names' grams
     by bucket; any table gives right keys, provided both sides use the same one,
-    and the measured one gives few pairs.
+    and the measured one gives few pairs.  Both sides also share ``even``, which
+    says whether it passes :func:`grams_are_even`.
     """
     size, counts = _gram_size(ratio), frequency or {}
     buckets = gram_buckets(name, ratio)
     known = len(buckets) if present is None else sum(b in present for b in buckets)
     keys: set[str] = set()
     least_by: dict[tuple[int, int], int] = {}  # least number of shared grams by kind of key
-    for shared, shared_long, kept, long, t in _key_rules(len(name), ratio, partners):
+    for shared, shared_long, kept, long, t in _key_rules(len(name), ratio, partners, even):
         if known < shared:
             continue
         if kept is not None:

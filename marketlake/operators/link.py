@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from marketlake.functions import (
     gram_buckets,
     gram_masks,
+    grams_are_even,
     may_reach,
     name_signatures,
     normalise_name,
@@ -129,9 +130,11 @@ def _signed(
 ) -> DataFrame:
     """(id, length, masks, 64-bit key) rows: numbers only, as a name has many keys; a hash collision only adds a candidate."""
 
+    even = grams_are_even(frequency)
+
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys = batch["norm_name"].map(lambda name: name_signatures(name, ratio, partners, frequency, present))
+            keys = batch["norm_name"].map(lambda name: name_signatures(name, ratio, partners, frequency, present, even))
             found = keys.map(len) > 0
             some = batch.loc[found, ["norm_name"]]
             masks = [gram_masks(name, ratio) for name in some["norm_name"]]
