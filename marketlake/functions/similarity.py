@@ -131,7 +131,8 @@ def _gram_key(total: int, ratio: float, even: bool) -> tuple[int, int]:
     while t < shared and comb(spare + t + 1, t + 1) <= _KEYS:
         t += 1
     longest = size
-    while longest < _LONGEST_GRAM and _shared(total, ratio, longest + 1) >= 1:
+    # so many are shared that at most four of a name's keys hold padding: a few characters of it fit very many names
+    while longest < _LONGEST_GRAM and _shared(total, ratio, longest + 1) >= max(1, 2 * (longest + 1) - 5):
         longest += 1
     over = t >= 2 and comb(spare + t, t) > _KEYS
     return (longest, 1) if longest > size and (over or even and longest >= size * t + 2) else (size, t)
@@ -196,7 +197,8 @@ def name_signatures(
         if len(usable) < least:
             continue
         rarity = [prod(weights[i : i + span : size]) for i in range(len(grams))]
-        rare = sorted(usable, key=lambda i: (rarity[i], grams[i], i))
+        padding = [parts[i : i + span].count(None) for i in range(len(grams))]  # padding is in all names: last
+        rare = sorted(usable, key=lambda i: (padding[i], rarity[i], grams[i], i))
         places = sorted(rare[: len(usable) - least + t])
         keys.update(f"{long},{t}|" + "|".join(part) for part in combinations([grams[i] for i in places], t))
     return sorted(keys)
