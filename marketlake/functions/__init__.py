@@ -25,8 +25,11 @@ from marketlake.functions.time import (
 from marketlake.functions.similarity import (
     enough_grams,
     gram_buckets,
+    gram_counts,
     gram_masks,
+    gram_size,
     grams_are_even,
+    may_have_partner,
     may_reach,
     name_mask,
     name_signatures,

@@ -11,6 +11,7 @@ from math import ceil, comb, floor, prod
 import sys
 from zlib import crc32
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
@@ -76,6 +77,7 @@ def similarity_ratio(floor: float = 0.0):
 _KEYS = 100  # most keys per name and sum of lengths, unless two grams need more
 _PADS = ("\x02", "\x03")
 GRAM_BUCKETS = 1 << 16  # frequencies are counted by hash: a bounded table however many grams there are
+_NAMES_AT_ONCE = 1000
 _MASK_WORDS = 2
 _LONGEST_GRAM = 8
 _EVEN = 0.001  # two grams are equal less often than this
@@ -85,7 +87,7 @@ def _needed(total: int, ratio: float) -> int:
     return ceil(ratio * total / 2 - 1e-9)
 
 
-def _gram_size(ratio: float, largest: int = 3) -> int:
+def gram_size(ratio: float, largest: int = 3) -> int:
     """Characters per gram: a lower ratio leaves no longer gram certain to be shared."""
     return min(largest, 3 if ratio >= 0.84 else 2 if ratio >= 0.7 else 1)
 
@@ -112,7 +114,26 @@ def _bucket(gram: str) -> int:
 
 def gram_buckets(name: str, ratio: float) -> list[int]:
     """Frequency bucket of each gram of a name."""
-    return [_bucket(gram) for gram in _grams(name, _gram_size(ratio))]
+    return [_bucket(gram) for gram in _grams(name, gram_size(ratio))]
+
+
+def gram_counts(names: Sequence[str], ratio: float) -> Counter[int]:
+    """How many grams of the names fall into each bucket: :func:`gram_buckets` of all of them, each distinct gram hashed once."""
+    counts: Counter[int] = Counter()
+    size = gram_size(ratio)
+    for first in range(0, len(names), _NAMES_AT_ONCE):
+        padded = [_PADS[0] * (size - 1) + name + _PADS[1] * (size - 1) for name in names[first : first + _NAMES_AT_ONCE]]
+        codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+        within = np.ones(len(codes), dtype=bool)
+        for back in range(1, size):  # a gram does not start so near to the end of its name
+            within[np.cumsum([len(p) for p in padded]) - back] = False
+        starts = np.flatnonzero(within)
+        packed = np.zeros(len(starts), dtype=np.int64)
+        for i in range(size):  # three code points of 21 bits each
+            packed = packed << 21 | codes[starts + i]
+        for gram, n in zip(*(found.tolist() for found in np.unique(packed, return_counts=True))):
+            counts[_bucket("".join(chr(gram >> 21 * i & 0x1FFFFF) for i in reversed(range(size))))] += n
+    return counts
 
 
 def grams_are_even(frequency: Mapping[int, int]) -> bool:
@@ -124,7 +145,7 @@ def grams_are_even(frequency: Mapping[int, int]) -> bool:
 @lru_cache(maxsize=None)
 def _gram_key(total: int, ratio: float, even: bool) -> tuple[int, int]:
     """(characters per gram, grams per key) for the pairs with ``total`` characters."""
-    size, need = _gram_size(ratio), _needed(total, ratio)
+    size, need = gram_size(ratio), _needed(total, ratio)
     shared = _shared(total, ratio, size)
     spare = total - need + size - 1 - shared
     t = min(2, shared)
@@ -143,7 +164,7 @@ def _key_rules(
     own: int, ratio: float, partners: frozenset[int] | None, even: bool
 ) -> tuple[tuple[int, int, int | None, int, int], ...]:
     """For each length that can reach ``ratio``: (grams and long grams that are shared, characters kept, size, t)."""
-    size = _gram_size(ratio)
+    size = gram_size(ratio)
     share = ratio / (2 - ratio)  # shorter / longer of a passing pair
     rules = set()
     for other in range(max(1, ceil(own * share - 1e-9)), floor(own / share + 1e-9) + 1):
@@ -173,7 +194,7 @@ def name_signatures(
     and the measured one gives few pairs.  Both sides also share ``even``, which
     says whether it passes :func:`grams_are_even`.
     """
-    size, counts = _gram_size(ratio), frequency or {}
+    size, counts = gram_size(ratio), frequency or {}
     buckets = gram_buckets(name, ratio)
     known = len(buckets) if present is None else sum(b in present for b in buckets)
     keys: set[str] = set()
@@ -204,9 +225,18 @@ def name_signatures(
     return sorted(keys)
 
 
+def may_have_partner(name: str, ratio: float, partners: frozenset[int], present: Collection[int]) -> bool:
+    """Whether a name can reach ``ratio`` with any name of a side of these lengths and gram buckets.
+
+    Never false for a name of a passing pair: enough of its grams are on the other side.
+    """
+    known = sum(b in present for b in gram_buckets(name, ratio))
+    return any(known >= shared for shared, *_ in _key_rules(len(name), ratio, partners, False))
+
+
 def enough_grams(left: str, right: str, ratio: float) -> bool:
     """Whether two names have as many grams in common as ``ratio`` asks of names this long."""
-    size = _gram_size(ratio, 2)
+    size = gram_size(ratio, 2)
     common = Counter(_grams(left, size)) & Counter(_grams(right, size))
     return common.total() >= _shared(len(left) + len(right), ratio, size)
 
@@ -217,7 +247,7 @@ def gram_masks(name: str, ratio: float) -> list[int]:
     A bit in which two names differ stands for a gram without a partner.
     """
     bits = 0
-    for gram in _grams(name, _gram_size(ratio, 2)):
+    for gram in _grams(name, gram_size(ratio, 2)):
         bits |= 1 << (_bucket(gram) % (64 * _MASK_WORDS))
     words = [(bits >> (64 * i)) & ((1 << 64) - 1) for i in range(_MASK_WORDS)]
     return [w - (1 << 64) if w >= 1 << 63 else w for w in words]
@@ -229,7 +259,7 @@ def may_reach(
     """Whether two name lengths and :func:`gram_masks` leave ``ratio`` possible; never false for a passing pair."""
     total = left + right
     need = F.ceil(total * (ratio / 2) - 1e-9)
-    size = _gram_size(ratio, 2)
+    size = gram_size(ratio, 2)
     shared = need + (size - 1) * (1 - total + 2 * need)
     differing = [F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(left_masks, right_masks, strict=True)]
     return (need <= F.least(left, right)) & (
